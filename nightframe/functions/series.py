@@ -32,25 +32,56 @@ def middle(values: Column) -> Column:
     return (low + high) / F.lit(2.0)
 
 
+def mirrored(values: Column, width: int) -> Column:
+    """``width`` mirrored cells on either side (``c b a | a b c``), repeating for short arrays."""
+    n = F.size(values)
+    back = F.reverse(values)
+    # One copy on either side is enough unless the array is shorter than the margin.
+    repeats = 2 * ((width + 1) // 2)
+    period = F.concat(values, back)
+    tiled = F.flatten(F.array_repeat(period, 2 * repeats + 1))
+    short = F.slice(tiled, n * (2 * repeats) + 1 - width, n + 2 * width)
+    near = F.concat(
+        F.reverse(F.slice(values, 1, width)),
+        values,
+        F.slice(back, 1, width),
+    )
+    return F.when(n >= width, near).otherwise(short)
+
+
 def running_median(values: Column, half_width: int) -> Column:
-    """Median over ``2*half_width+1`` cells with the edge mirrored (``c b a | a b c``).
+    """Median over ``2*half_width+1`` cells with mirrored edges.
 
-    The mirror repeats as often as needed, so arrays shorter than the window work too.
+    The window is zipped from shifted slices, so the lambda sees single cells only. (A lambda
+    that captured the array could have the array's whole expression inlined and evaluated
+    once per element.)
     """
     n = F.size(values)
-    period = n * 2
-
-    def reflected(i: Column) -> Column:
-        j = F.pmod(i, period)
-        return F.get(values, F.when(j < n, j).otherwise(period - 1 - j))
-
-    padded = F.transform(F.sequence(F.lit(-half_width), n - 1 + half_width), reflected)
-    width = 2 * half_width + 1
+    padded = mirrored(values, half_width)
+    names = [f"w{k}" for k in range(2 * half_width + 1)]
+    window = F.arrays_zip(*[F.slice(padded, k + 1, n).alias(name) for k, name in enumerate(names)])
     return F.transform(
-        F.sequence(F.lit(1), n),
-        lambda start: F.get(F.array_sort(F.slice(padded, start, width)), F.lit(half_width)),
+        window, lambda w: F.get(F.array_sort(F.array(*[w[name] for name in names])), F.lit(half_width))
     )
 
 
 def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def pooled_variance(parts: Column) -> Column:
+    """Population variance of the union of groups given as ``struct<n, mean, var>``."""
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def merge(acc: Column, part: Column) -> Column:
+        n = acc["n"] + part["n"]
+        d = part["mean"] - acc["mean"]
+        return F.when(part["n"] == 0, acc).otherwise(
+            F.struct(
+                n.alias("n"),
+                (acc["mean"] + d * part["n"] / n).alias("mean"),
+                (acc["m2"] + part["var"] * part["n"] + d * d * acc["n"] * part["n"] / n).alias("m2"),
+            )
+        )
+
+    return F.aggregate(parts, start, merge, lambda acc: F.when(acc["n"] > 0, acc["m2"] / acc["n"]))

@@ -1,18 +1,20 @@
 """Detector corrections on paired pixels.
 
-``correction_terms`` explodes paired lines once and computes, per pixel, every term the
+``correction_terms`` explodes the lines of paired images once and computes, per pixel, every term the
 correction steps need. All neighbour access is by shifted copies of the line made before the
 explode, so the only window left is the row mean of the bit-offset correction; its partitions
 are single detector lines and its exchange is the one that paired the lines.
 
-A step then only combines a pixel's value, variance and terms. ``per_image`` lifts such a
-step to both amplifiers and ``run_steps`` chains steps, optionally keeping every result.
+A step then only combines a pixel's value, variance and terms; the key columns lift it to
+every image at once. ``run_steps`` chains steps, optionally keeping every result.
+
+The cells and line scalars are made non-null before the arithmetic. That halves the generated
+code, which must stay below the size the JVM is willing to compile.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,10 +68,8 @@ def saturation_pixels(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_parameters(
-    paired: DataFrame, parameters: DataFrame | None, strict: bool = True
-) -> DataFrame:
-    """Add ``p0_0 … p1_8``, the exposure's bit-offset parameters, to paired lines.
+def with_parameters(paired: DataFrame, parameters: DataFrame, strict: bool = True) -> DataFrame:
+    """Add ``parameters0``/``parameters1``, the exposure's bit-offset parameters, to paired lines.
 
     ``parameters`` has ``(exposure_id, x_block, parameters)``. With ``strict`` an exposure
     without a valid model fails the query; otherwise it is left uncorrected.
@@ -87,11 +87,7 @@ def with_parameters(
         fallback = F.array(zeros, zeros)
     p = p.withColumn("parameters", F.when(usable, model).otherwise(fallback))
     return p.withColumns(
-        {
-            f"p{amp}_{k}": F.get(F.get("parameters", F.lit(amp)), F.lit(k))
-            for amp in L.AMPS
-            for k in range(bits.PARAMETERS_PER_IMAGE)
-        }
+        {f"parameters{amp}": F.get("parameters", F.lit(amp)) for amp in L.AMPS}
     ).drop("parameters")
 
 
@@ -100,165 +96,135 @@ def correction_terms(
     bit_offset: bool = True,
     saturation: bool = True,
     overscan: bool = False,
-    carry: Sequence[str] = (),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Paired lines to paired pixels with all correction terms.
+    """Paired lines to pixels of single images with all correction terms.
 
-    Result: ``exposure_id, x_block, x, y, x_extent, y_extent`` and per amplifier ``raw``,
-    ``saturated``, ``bit_offset``, ``even_odd``, ``noise`` and ``ramp`` as far as asked for.
-    ``overscan`` needs ``model0``/``model1`` of :func:`overscan.model_per_exposure`;
-    ``carry`` names scalar line columns to keep.
+    Result: ``exposure_id, amp, x_block, x, y, x_extent, y_extent, raw`` and, as far as asked
+    for, ``saturated``, ``bit_offset``, ``even_odd``, ``noise`` and ``ramp``. ``overscan``
+    needs ``model0``/``model1`` of :func:`overscan.model_per_exposure`; ``carry`` names scalar
+    image columns to keep.
     """
-    fields: list[Column] = []
-    for amp in L.AMPS:
-        data = F.col(f"data{amp}")
-        fields.append(data.alias(f"raw{amp}"))
-        if bit_offset:
-            fields += [series.shifted(data, k).alias(f"back{k}_{amp}") for k in (2, 3)]
-        if saturation:
-            fields.append(series.shifted(data, 1).alias(f"before{amp}"))
-            fields.append(series.shifted(data, -1).alias(f"after{amp}"))
-        if overscan:
-            nothing = F.array().cast("array<double>")
-            model = F.col(f"model{amp}")
-            fields.append(F.coalesce(model["multiplier"], nothing).alias(f"multiplier{amp}"))
-            fields.append(F.coalesce(model["offset"], nothing).alias(f"offset{amp}"))
-
-    line_level = {
-        "x_extent": F.col("x_extent"),
-        "y_extent": F.size("data0"),
-        **{c: F.col(c) for c in carry},
-    }
-    for amp in L.AMPS:
-        if bit_offset:
-            line_level |= {f"p{amp}_{k}": F.col(f"p{amp}_{k}") for k in range(bits.PARAMETERS_PER_IMAGE)}
-        if saturation:
-            line_level[f"level{amp}"] = F.col(f"saturate{amp}")
-        if overscan:
-            model = F.col(f"model{amp}")
-            for flag, name, value in (
-                ("even_odd_done", "slope", model["slope"]),
-                ("even_odd_done", "intercept", model["intercept"]),
-                ("variance_done", "noise", model["overscan_variance"]),
-            ):
-                line_level[f"{name}{amp}"] = F.when(model[flag], 0.0).otherwise(value)
-            line_level[f"last_offset{amp}"] = F.element_at(model["offset"], -1)
-            line_level[f"ramp_done{amp}"] = model["offset_done"]
-    # Arrays are zipped here, at line level, so that no array is an input of a pixel row.
-    at_line = paired.select(
-        *L.PAIR_KEYS, *[c.alias(n) for n, c in line_level.items()], F.arrays_zip(*fields).alias("_cells")
-    )
-    p = at_line.select(
-        *L.PAIR_KEYS, *line_level, F.posexplode("_cells").alias("y", "_c")
-    ).select(*L.PAIR_KEYS, *line_level, "y", "_c.*")
-    # Extra cells come only from a model longer than the line.
+    wanted = {"parameters": bit_offset, "saturate": saturation, "model": overscan}
+    per_image = (*[name for name, use in wanted.items() if use], *carry)
+    shared = ("x_extent",) if "x_extent" in paired.columns else ()
+    images = L.per_amplifier(paired, per_image, shared)
+
+    data, other, zero = F.col("data"), F.col("other"), F.lit(0.0)
+    # Arrays are zipped at line level, so that no array is ever an input of a pixel row.
+    cells: dict[str, tuple[Column, Column | None]] = {"raw": (data, F.lit(0))}
+    scalars: dict[str, Column] = {c: F.col(c) for c in (*shared, *carry)}
+    scalars["y_extent"] = F.size("data")
+    if bit_offset:
+        cells["back2"] = (series.shifted(data, 2), F.lit(0))
+        cells["back3"] = (series.shifted(data, 3), F.lit(0))
+        cells["other3"] = (series.shifted(other, 3), F.lit(0))
+    if saturation:
+        cells["before"] = (series.shifted(data, 1), F.lit(-1))
+        cells["after"] = (series.shifted(data, -1), F.lit(-1))
+        scalars["level"] = F.coalesce(F.col("saturate").cast("double"), F.lit(SATURATION_LEVEL))
     if overscan:
-        p = p.filter(F.col("y") < F.col("y_extent"))
+        model, nothing = F.col("model"), F.array().cast("array<double>")
+        cells["multiplier"] = (F.coalesce(model["multiplier"], nothing), None)
+        cells["offset"] = (F.coalesce(model["offset"], nothing), None)
+        for done, name, value in (
+            ("even_odd_done", "slope", model["slope"]),
+            ("even_odd_done", "intercept", model["intercept"]),
+            ("variance_done", "noise", model["overscan_variance"]),
+        ):
+            scalars[name] = F.when(model[done], zero).otherwise(F.coalesce(value, zero))
+        scalars["last_offset"] = F.coalesce(F.element_at(model["offset"], -1), zero)
+        scalars["ramp_on"] = F.when(model["offset_done"], zero).otherwise(F.lit(1.0))
+
+    keys = (*L.PAIR_KEYS, "amp")
+    zipped = F.arrays_zip(*[c.alias(n) for n, (c, _) in cells.items()])
+    # An array function with a lambda is outside whole-stage code generation. It is used here
+    # to end the generated line-level code before the explode: fused with it, the pixel loop
+    # would be too large for the JVM to compile.
+    weights = F.col("parameters") if bit_offset else F.array().cast("array<double>")
+    weights = F.transform(weights, lambda w: F.coalesce(w, zero))
+    at_line = images.select(
+        *keys, *[c.alias(n) for n, c in scalars.items()], zipped.alias("_cells"), weights.alias("_w")
+    )
+    if bit_offset:
+        parameters = {
+            f"p{k}": F.coalesce(F.get("_w", F.lit(k)), zero) for k in range(bits.PARAMETERS_PER_IMAGE)
+        }
+        at_line = at_line.withColumns(parameters)
+        scalars |= parameters
+    # The outer form, because the plain one infers a filter on the array's size, which would be
+    # pushed below the zip and repeat it. The filter drops its null row and the cells that a
+    # model longer than the line would add.
+    exploded = at_line.select(*keys, *scalars, F.posexplode_outer("_cells").alias("y", "_c"))
+    p = exploded.filter(F.col("y") < F.col("y_extent")).select(
+        *keys,
+        *scalars,
+        "y",
+        *[
+            (F.col(f"_c.{n}") if fill is None else F.coalesce(F.col(f"_c.{n}"), fill)).alias(n)
+            for n, (_, fill) in cells.items()
+        ],
+    )
 
     x, y = F.col("x"), F.col("y")
     terms: dict[str, Column] = {}
-    for amp, other in zip(L.AMPS, reversed(L.AMPS)):
-        terms[f"raw{amp}"] = F.col(f"raw{amp}")
-        if saturation:
-            terms[f"saturated{amp}"] = is_saturated(
-                F.col(f"raw{amp}"), F.col(f"before{amp}"), F.col(f"after{amp}"), F.col(f"level{amp}")
-            )
-        if bit_offset:
-            params = [F.col(f"p{amp}_{k}") for k in range(bits.PARAMETERS_PER_IMAGE)]
-            amplitude = bits.correction_amplitude(
-                F.col(f"back2_{amp}"), F.col(f"back3_{amp}"), F.col(f"back3_{other}"), params
-            )
-            terms[f"bit_offset{amp}"] = F.when(y >= BLIND_CELLS, amplitude)
-        if overscan:
-            half = O.half_amplitude(F.col(f"slope{amp}"), F.col(f"intercept{amp}"), y)
-            terms[f"even_odd{amp}"] = F.when(x % 2 == 0, -half).otherwise(half)
-            terms[f"noise{amp}"] = F.col(f"noise{amp}")
-            ramp = O.ramp(
-                F.col(f"multiplier{amp}"), F.col(f"offset{amp}"), F.col(f"last_offset{amp}"), x
-            )
-            terms[f"ramp{amp}"] = F.when(F.col(f"ramp_done{amp}"), 0.0).otherwise(ramp)
-    p = p.select(*L.PAIR_KEYS, "y", "x_extent", "y_extent", *carry, *[c.alias(n) for n, c in terms.items()])
+    if saturation:
+        level = F.col("level")
+        terms["saturated"] = (
+            (F.col("raw") > level) | (F.col("before") > level) | (F.col("after") > level)
+        )
     if bit_offset:
-        line = Window.partitionBy(*L.PAIR_KEYS)
-        means = {
-            f"bit_offset{amp}": F.coalesce(
-                F.col(f"bit_offset{amp}"), F.avg(f"bit_offset{amp}").over(line)
-            )
-            for amp in L.AMPS
-        }
-        p = p.withColumns(means)
+        params = [F.col(f"p{k}") for k in range(bits.PARAMETERS_PER_IMAGE)]
+        amplitude = bits.correction_amplitude(F.col("back2"), F.col("back3"), F.col("other3"), params)
+        terms["bit_offset"] = F.when(y >= BLIND_CELLS, amplitude)
+    if overscan:
+        half = O.half_amplitude(F.col("slope"), F.col("intercept"), y)
+        terms["even_odd"] = F.when(x % 2 == 0, -half).otherwise(half)
+        terms["noise"] = F.col("noise")
+        ramp = O.ramp(F.col("multiplier"), F.col("offset"), F.col("last_offset"), x)
+        terms["ramp"] = F.col("ramp_on") * ramp
+    p = p.select(*keys, "y", *shared, "y_extent", *carry, "raw", *[c.alias(n) for n, c in terms.items()])
+    if bit_offset:
+        mean = F.avg("bit_offset").over(Window.partitionBy(*keys))
+        p = p.withColumn("bit_offset", F.coalesce(F.col("bit_offset"), mean))
     return p
 
 
 # --------------------------------------------------------------------------- steps
 
-
-@dataclass(frozen=True)
-class Image:
-    """The columns of one amplifier's image inside a paired pixel row."""
-
-    value: Column
-    variance: Column
-    term: Callable[[str], Column]
-
-
 Step = Callable[[DataFrame], DataFrame]
 
 
-def per_image(step: Callable[[Image], dict[str, Column]]) -> Step:
-    """Lift a step on one image to both images of a paired pixel table."""
-
-    def lifted(pixels: DataFrame) -> DataFrame:
-        changes: dict[str, Column] = {}
-        for amp in L.AMPS:
-            image = Image(
-                F.col(f"value{amp}"), F.col(f"variance{amp}"), lambda name, a=amp: F.col(f"{name}{a}")
-            )
-            changes |= {f"{name}{amp}": c for name, c in step(image).items()}
-        return pixels.withColumns(changes)
-
-    lifted.__name__ = step.__name__
-    return lifted
-
-
 def start_images(pixels: DataFrame) -> DataFrame:
     """Value is the raw reading; its Poisson variance is the reading itself."""
-    raw = {amp: F.col(f"raw{amp}").cast("double") for amp in L.AMPS}
-    return pixels.withColumns(
-        {f"value{a}": c for a, c in raw.items()} | {f"variance{a}": c for a, c in raw.items()}
-    )
+    raw = F.col("raw").cast("double")
+    return pixels.withColumns({"value": raw, "variance": raw})
 
 
-@per_image
-def saturation(image: Image) -> dict[str, Column]:
-    hit = image.term("saturated")
-    return {"variance": F.when(hit, F.lit(float("inf"))).otherwise(image.variance)}
+def saturation(pixels: DataFrame) -> DataFrame:
+    infinite = F.when(F.col("saturated"), F.lit(float("inf"))).otherwise(F.col("variance"))
+    return pixels.withColumn("variance", infinite)
 
 
-@per_image
-def bit_offset(image: Image) -> dict[str, Column]:
-    return {"value": image.value - image.term("bit_offset")}
+def bit_offset(pixels: DataFrame) -> DataFrame:
+    return pixels.withColumn("value", F.col("value") - F.col("bit_offset"))
 
 
-@per_image
-def even_odd(image: Image) -> dict[str, Column]:
-    return {"value": image.value + image.term("even_odd")}
+def even_odd(pixels: DataFrame) -> DataFrame:
+    return pixels.withColumn("value", F.col("value") + F.col("even_odd"))
 
 
-@per_image
-def overscan_variance(image: Image) -> dict[str, Column]:
-    return {"variance": image.variance + image.term("noise")}
+def overscan_variance(pixels: DataFrame) -> DataFrame:
+    return pixels.withColumn("variance", F.col("variance") + F.col("noise"))
 
 
-@per_image
-def overscan_offset(image: Image) -> dict[str, Column]:
-    return {"value": image.value - image.term("ramp")}
+def overscan_offset(pixels: DataFrame) -> DataFrame:
+    return pixels.withColumn("value", F.col("value") - F.col("ramp"))
 
 
-@per_image
-def exposure_variance(image: Image) -> dict[str, Column]:
+def exposure_variance(pixels: DataFrame) -> DataFrame:
     """Add the exposure itself to its variance."""
-    return {"variance": image.variance + image.value}
+    return pixels.withColumn("variance", F.col("variance") + F.col("value"))
 
 
 # The order matters: variance starts from raw readings, the bit offset needs raw integers.
@@ -277,13 +243,12 @@ def run_steps(
 ) -> DataFrame:
     """Apply steps in order.
 
-    With ``snapshot`` every stage stays in the row as columns ``value{amp}_s{k}`` and
-    ``variance{amp}_s{k}`` (0 is the input), so comparing stages needs no join.
+    With ``snapshot`` every stage stays in the row as columns ``value_s{k}`` and
+    ``variance_s{k}`` (0 is the input), so comparing stages needs no join.
     """
+
     def keep(p: DataFrame, k: int) -> DataFrame:
-        return p.withColumns(
-            {f"{n}{a}_s{k}": F.col(f"{n}{a}") for n in ("value", "variance") for a in L.AMPS}
-        )
+        return p.withColumns({f"{n}_s{k}": F.col(n) for n in ("value", "variance")})
 
     p = keep(pixels, 0) if snapshot else pixels
     for k, (_, step) in enumerate(steps, start=1):

@@ -23,7 +23,7 @@ AMPS = (0, 1)
 
 # Per-image attributes that travel with the lines. They are constant per image, so they
 # dictionary-encode to almost nothing on disk, and no join is needed to reach them.
-IMAGE_ATTRIBUTES = ("datasec", "biassec", "saturate", "obstype")
+IMAGE_ATTRIBUTES = ("bias", "saturate")
 EXPOSURE_ATTRIBUTES = ("channel", "x_extent", "bias_lo", "bias_hi")
 
 
@@ -80,14 +80,17 @@ def with_bias_span(lines: DataFrame) -> DataFrame:
 def pair_lines(lines: DataFrame) -> DataFrame:
     """Put the two amplifiers of an exposure side by side, line by line.
 
-    Result: ``(exposure_id, x_block, x)``, exposure attributes, and ``data0``/``data1`` plus
-    the image attributes with suffix 0 and 1. A line without exactly two amplifiers fails.
-    The single exchange is on ``(exposure_id, x_block)``; the grouping and every later
-    per-exposure join or window reuse it.
+    Result: ``(exposure_id, x_block, x)``, exposure attributes, and ``data0``/``data1``,
+    ``saturate0``… and ``bias0``… (the parsed bias section). A line without exactly two
+    amplifiers fails. The single exchange is on ``(exposure_id, x_block)``; the grouping and
+    every later per-exposure join or window reuse it.
     """
-    placed = lines.withColumn("x_block", x_block(F.col("x"))).repartition(*BLOCK_KEYS)
-    per_image = [c for c in ("data", *IMAGE_ATTRIBUTES) if c in lines.columns]
+    prepared = lines.withColumn("x_block", x_block(F.col("x")))
+    if "biassec" in lines.columns:
+        prepared = prepared.withColumn("bias", S.parse_section(F.col("biassec")))
+    per_image = [c for c in ("data", *IMAGE_ATTRIBUTES) if c in prepared.columns]
     shared = [c for c in EXPOSURE_ATTRIBUTES if c in lines.columns]
+    placed = prepared.select(*PAIR_KEYS, "amp", *per_image, *shared).repartition(*BLOCK_KEYS)
     columns = [
         F.first(F.when(F.col("amp") == amp, F.col(c)), ignorenulls=True).alias(f"{c}{amp}")
         for c in per_image
@@ -103,22 +106,27 @@ def pair_lines(lines: DataFrame) -> DataFrame:
         F.lit("exposure "), F.col("exposure_id").cast("string"), F.lit(" does not have two images")
     )
     checked = F.when(complete, F.col("data0")).otherwise(
-        F.raise_error(message).cast(paired.schema["data0"].dataType)
+        F.raise_error(message).cast("array<int>")
     )
     return paired.withColumn("data0", checked).drop("_images")
 
 
-def unpair(pixels: DataFrame, names: tuple[str, ...] = ("value", "variance")) -> DataFrame:
-    """Paired pixels to one row per amplifier: ``(exposure_id, amp, x, y, value, variance)``."""
-    images = F.array(
-        *[
-            F.struct(F.lit(amp).alias("amp"), *[F.col(f"{n}{amp}").alias(n) for n in names])
-            for amp in AMPS
-        ]
-    )
-    return pixels.select("exposure_id", "x", "y", F.inline(images)).select(
-        "exposure_id", "amp", "x", "y", *names
-    )
+def per_amplifier(paired: DataFrame, per_image: tuple[str, ...], shared: tuple[str, ...] = ()) -> DataFrame:
+    """Paired lines to one row per amplifier, each still holding the other's readings.
+
+    Adds ``amp``, ``data``, ``other`` and the named image columns without their suffix.
+    Narrow, and still at line level.
+    """
+    images = [
+        F.struct(
+            F.lit(amp).alias("amp"),
+            F.col(f"data{amp}").alias("data"),
+            F.col(f"data{1 - amp}").alias("other"),
+            *[F.col(f"{c}{amp}").alias(c) for c in per_image],
+        )
+        for amp in AMPS
+    ]
+    return paired.select(*PAIR_KEYS, *shared, F.inline(F.array(*images)))
 
 
 def extract_section(
@@ -177,24 +185,13 @@ def assign_section(pixels: DataFrame, new: DataFrame, label: str = "datasec") ->
 
 
 def assemble(pixels: DataFrame, axis: str = "y") -> DataFrame:
-    """One image per exposure from paired pixels: amplifier 1 beside amplifier 0.
+    """One image per exposure: amplifier 1 beside amplifier 0 on ``axis``.
 
-    Needs ``x_extent`` and ``y_extent``, the size of amplifier 0's image, so no join.
+    ``x_extent``/``y_extent`` of the pixels are the size of amplifier 0's image, so no join.
     """
-    extent = F.col(f"{axis}_extent")
-    first = {c: F.col(c) for c in ("x", "y")}
-    second = {**first, axis: F.col(axis) + extent}
-    images = F.array(
-        *[
-            F.struct(
-                *[place[c].cast("int").alias(c) for c in ("x", "y")],
-                F.col(f"value{amp}").alias("value"),
-                F.col(f"variance{amp}").alias("variance"),
-            )
-            for amp, place in zip(AMPS, (first, second))
-        ]
-    )
-    return pixels.select("exposure_id", F.inline(images))
+    shift = F.when(F.col("amp") == 1, F.col(f"{axis}_extent")).otherwise(0)
+    placed = pixels.withColumn(axis, (F.col(axis) + shift).cast("int"))
+    return placed.select("exposure_id", "x", "y", "value", "variance")
 
 
 def assemble_lines(lines: DataFrame, axis: str = "y") -> DataFrame:

@@ -22,12 +22,10 @@ HALF_WINDOW = 5  # cells on either side in the running median
 def bias_pixels(pixels: DataFrame) -> DataFrame:
     """Bias-section pixels with section-relative coordinates ``sx``, ``sy``.
 
-    Needs ``(exposure_id, amp, x, y, value, biassec)``; ``x_extent`` passes through.
+    Needs ``(exposure_id, amp, x, y, value, bias, x_extent)`` with ``bias`` the parsed section.
     """
-    p = pixels.withColumn("_s", S.parse_section(F.col("biassec")))
-    s, x, y = F.col("_s"), F.col("x"), F.col("y")
-    extent = F.col("x_extent") if "x_extent" in pixels.columns else F.lit(None).cast("int")
-    return p.filter(S.inside(s, x, y)).select(
+    s, x, y = F.col("bias"), F.col("x"), F.col("y")
+    return pixels.filter(S.inside(s, x, y)).select(
         *IMAGE_KEYS,
         x,
         y,
@@ -35,14 +33,19 @@ def bias_pixels(pixels: DataFrame) -> DataFrame:
         S.section_x(s, x).alias("sx"),
         S.section_y(s, y).alias("sy"),
         (s["x_max"] - s["x_min"]).alias("width"),
-        extent.alias("x_extent"),
+        "x_extent",
     )
 
 
+def bias_lines(lines: DataFrame) -> DataFrame:
+    """The lines that hold bias pixels of any image of the exposure."""
+    return lines.filter((F.col("x") >= F.col("bias_lo")) & (F.col("x") < F.col("bias_hi")))
+
+
 def bias_pixels_of_lines(lines: DataFrame) -> DataFrame:
     """Bias pixels straight from lines: other lines are dropped before the explode."""
-    kept = lines.filter((F.col("x") >= F.col("bias_lo")) & (F.col("x") < F.col("bias_hi")))
-    columns = ["exposure_id", "amp", "x", "biassec", "x_extent"]
+    kept = bias_lines(lines).withColumn("bias", S.parse_section(F.col("biassec")))
+    columns = ["exposure_id", "amp", "x", "bias", "x_extent"]
     return bias_pixels(kept.select(*columns, F.posexplode("data").alias("y", "value")))
 
 
@@ -120,39 +123,28 @@ def overscan_model(
     def corrected(c: Column) -> Column:
         half = half_amplitude(F.col("_slope"), F.col("_intercept"), c["y"])
         zero = F.lit(0.0)
-        return F.struct(
-            c["n_even"].alias("ne"),
-            F.coalesce(c["mean_even"] - half, zero).alias("me"),
-            F.coalesce(c["var_even"], zero).alias("ve"),
-            c["n_odd"].alias("no"),
-            F.coalesce(c["mean_odd"] + half, zero).alias("mo"),
-            F.coalesce(c["var_odd"], zero).alias("vo"),
-        )
 
-    m = m.withColumn("_c", F.transform("_cells", corrected)).drop("_cells")
-    m = m.withColumns(
-        {
-            "_n": series.total(F.transform("_c", lambda c: c["ne"] + c["no"])),
-            "line_mean": F.transform(
-                "_c", lambda c: (c["ne"] * c["me"] + c["no"] * c["mo"]) / (c["ne"] + c["no"])
-            ),
-        }
-    )
-    m = m.withColumn(
-        "_grand",
-        series.total(F.transform("_c", lambda c: c["ne"] * c["me"] + c["no"] * c["mo"])) / F.col("_n"),
-    )
+        def part(parity: str, mean: Column) -> Column:
+            return F.struct(
+                c[f"n_{parity}"].alias("n"),
+                F.coalesce(mean, zero).alias("mean"),
+                F.coalesce(c[f"var_{parity}"], zero).alias("var"),
+            )
+
+        return F.array(part("even", c["mean_even"] - half), part("odd", c["mean_odd"] + half))
 
-    def spread(c: Column) -> Column:
-        de, do = c["me"] - F.col("_grand"), c["mo"] - F.col("_grand")
-        return c["ne"] * (c["ve"] + de * de) + c["no"] * (c["vo"] + do * do)
+    def mean_of(parts: Column) -> Column:
+        e, o = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+        return (e["n"] * e["mean"] + o["n"] * o["mean"]) / (e["n"] + o["n"])
 
+    m = m.withColumn("_parts", F.transform("_cells", corrected)).drop("_cells")
     m = m.withColumns(
         {
-            "overscan_variance": series.total(F.transform("_c", spread)) / F.col("_n"),
-            "line_median": series.running_median(F.col("line_mean"), half_window),
+            "line_mean": F.transform("_parts", mean_of),
+            "overscan_variance": series.pooled_variance(F.flatten("_parts")),
         }
     )
+    m = m.withColumn("line_median", series.running_median(F.col("line_mean"), half_window))
     medians = F.col("line_median")
     extent = F.col("x_extent").cast("double")
     # Centre line of the ramp, one image further on.

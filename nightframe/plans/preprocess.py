@@ -13,10 +13,11 @@ from nightframe.operators import overscan as O
 
 
 def exposures_of(lines: DataFrame) -> DataFrame:
-    """One row per exposure: channel and number of lines. Reads three narrow columns."""
-    return lines.groupBy("exposure_id").agg(
-        F.first("channel", ignorenulls=True).alias("channel"), F.max("x_extent").alias("x_extent")
-    )
+    """One row per exposure: channel and number of lines. Reads three narrow columns.
+
+    The channel is a grouping key because a string key keeps the aggregation hash-based.
+    """
+    return lines.groupBy("exposure_id", "channel").agg(F.max("x_extent").alias("x_extent"))
 
 
 def exposure_parameters(lines: DataFrame, models: DataFrame) -> DataFrame:
@@ -33,24 +34,9 @@ def exposure_parameters(lines: DataFrame, models: DataFrame) -> DataFrame:
 
 def bias_of_corrected(lines: DataFrame, parameters: DataFrame, strict: bool = True) -> DataFrame:
     """Bias pixels after the bit-offset correction; other lines never reach the exchange."""
-    kept = lines.filter((F.col("x") >= F.col("bias_lo")) & (F.col("x") < F.col("bias_hi")))
-    paired = L.pair_lines(kept)
-    values = D.correction_terms(
-        D.with_parameters(paired, parameters, strict),
-        saturation=False,
-        carry=("biassec0", "biassec1"),
-    )
-    images = F.array(
-        *[
-            F.struct(
-                F.lit(amp).alias("amp"),
-                (F.col(f"raw{amp}") - F.col(f"bit_offset{amp}")).alias("value"),
-                F.col(f"biassec{amp}").alias("biassec"),
-            )
-            for amp in L.AMPS
-        ]
-    )
-    return O.bias_pixels(values.select("exposure_id", "x", "y", "x_extent", F.inline(images)))
+    paired = D.with_parameters(L.pair_lines(O.bias_lines(lines)), parameters, strict)
+    pixels = D.correction_terms(paired, saturation=False, carry=("bias",))
+    return O.bias_pixels(pixels.withColumn("value", F.col("raw") - F.col("bit_offset")))
 
 
 def overscan_models(
@@ -73,7 +59,7 @@ def preprocess(
     snapshot: bool = False,
     strict: bool = True,
 ) -> DataFrame:
-    """Corrected paired pixels of every exposure.
+    """Corrected pixels of every exposure, with their correction terms.
 
     Two passes over the lines: a small one over the bias lines for the models, and the main
     one, which shuffles each line once and explodes it once.
@@ -85,21 +71,30 @@ def preprocess(
     missing = F.raise_error(
         F.concat(F.lit("no bias section in exposure "), F.col("exposure_id").cast("string"))
     )
-    paired = paired.withColumns(
-        {
-            f"model{amp}": F.coalesce(F.col(f"model{amp}"), missing.cast(paired.schema[f"model{amp}"].dataType))
-            for amp in L.AMPS
-        }
-    )
+    for amp in L.AMPS:
+        column = F.col(f"model{amp}")
+        checked = F.coalesce(column, missing.cast(model.schema[f"model{amp}"].dataType))
+        paired = paired.withColumn(f"model{amp}", checked)
     pixels = D.correction_terms(paired, overscan=True)
     return D.run_steps(D.start_images(pixels), steps, snapshot)
 
 
+IMAGE_COLUMNS = ("exposure_id", "amp", "x", "y", "value", "variance")
+
+
 def preprocess_images(lines: DataFrame, models: DataFrame, **options) -> DataFrame:
     """Corrected images, one row per amplifier pixel."""
-    return L.unpair(preprocess(lines, models, **options))
+    return preprocess(lines, models, **options).select(*IMAGE_COLUMNS)
 
 
 def preprocess_chips(lines: DataFrame, models: DataFrame, axis: str = "y", **options) -> DataFrame:
     """Corrected images with both amplifiers assembled into one."""
     return L.assemble(preprocess(lines, models, **options), axis)
+
+
+def corrected_lines(pixels: DataFrame) -> DataFrame:
+    """Corrected pixels back as lines, for writing.
+
+    The grouping keys contain the shuffle keys of :func:`preprocess`, so no exchange is added.
+    """
+    return L.to_lines(pixels, ("exposure_id", "x_block", "amp", "x")).drop("x_block")

@@ -51,7 +51,7 @@ def bit_offset_correct(spark, sf):
     lines = V.lines(spark, sf)
     paired = D.with_parameters(L.pair_lines(lines), P.exposure_parameters(lines, _models(spark)))
     p = D.bit_offset(D.start_images(D.correction_terms(paired, saturation=False)))
-    return L.unpair(p, ("value",)).withColumn("value", r4("value"))
+    return p.select("exposure_id", "amp", "x", "y", r4("value").alias("value"))
 
 
 def saturation_mask(spark, sf):
@@ -136,7 +136,7 @@ def _raw_overscan(spark, sf, steps, apply_even_odd=True):
     model = O.overscan_model(O.bias_profile(O.bias_pixels_of_lines(lines)), apply_even_odd=apply_even_odd)
     paired = L.pair_lines(lines).join(O.model_per_exposure(model), list(L.BLOCK_KEYS))
     terms = D.correction_terms(paired, bit_offset=False, saturation=False, overscan=True)
-    return L.unpair(D.run_steps(D.start_images(terms), steps))
+    return D.run_steps(D.start_images(terms), steps)
 
 
 def even_odd_correct(spark, sf):
