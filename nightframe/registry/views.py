@@ -194,3 +194,206 @@ def ramp_sql(source: str, prefix: str = "") -> str:
   SELECT r.exposure_id, r.amp, k AS y, 0.0 AS multiplier, r."offset"
   FROM {prefix}ramp_short r, (SELECT unnest(range(60, 64)) AS k) WHERE r.y = 59
 )"""
+
+
+# ------------------------------------------------------------------ catalogue, from events
+
+TYPES = ("OBJECT", "ARC", "FLAT", "RAW_LOGS", "WEATHER", "BINARY_OFFSET_MODEL")
+
+
+def catalog_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several versions per file, some without type, some deleted since."""
+    e = table(spark, sf_dir, "events")
+    f = F.col("event_id") % 4000
+    e = e.withColumn("f", f)
+    e = e.withColumns(
+        {
+            "type": F.when(F.col("f") % 13 != 0, F.get(F.array(*map(F.lit, TYPES)), (F.col("f") % 6).cast("int"))),
+            "channel": F.when(F.expr("(f div 6) % 2 = 0"), "B").otherwise("R"),
+            "object": F.when(F.col("f") % 11 != 0, F.concat(F.lit("obj"), F.expr("(f div 12) % 5"))),
+            "run_id": F.expr("f div 120").cast("string"),
+            "size_mb": F.col("event_id") % 17,
+        }
+    )
+    path = F.concat(
+        F.lit("raw/runs/run_id="), "run_id", F.lit("/channel="), "channel", F.lit("/f"), F.col("f"), F.lit(".fits")
+    )
+    return e.select(
+        path.alias("file_path"), "type", "object", "run_id", "channel", "size_mb",
+        F.col("ts").alias("time_added"), F.col("event_id").alias("batch_no"), "f",
+    )
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog_entries(spark, sf_dir).filter("f % 7 <> 0").select("file_path").distinct()
+
+
+CATALOG_SQL = """
+entries AS (
+  SELECT 'raw/runs/run_id=' || run_id || '/channel=' || channel || '/f' || f || '.fits' AS file_path, *
+  FROM (SELECT f, ts AS time_added, event_id AS batch_no, event_id % 17 AS size_mb,
+    CASE WHEN f % 13 = 0 THEN NULL ELSE (['OBJECT', 'ARC', 'FLAT', 'RAW_LOGS', 'WEATHER', 'BINARY_OFFSET_MODEL'])[f % 6 + 1] END AS type,
+    CASE (f // 6) % 2 WHEN 0 THEN 'B' ELSE 'R' END AS channel,
+    CASE WHEN f % 11 = 0 THEN NULL ELSE 'obj' || (f // 12) % 5 END AS object,
+    CAST(f // 120 AS VARCHAR) AS run_id
+  FROM (SELECT *, event_id % 4000 AS f FROM events))
+),
+listing AS (SELECT DISTINCT file_path FROM entries WHERE f % 7 <> 0),
+latest AS (
+  SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY file_path ORDER BY time_added DESC, batch_no DESC) = 1
+),
+catalog AS (
+  SELECT * REPLACE (CASE WHEN type = 'FLAT' AND size_mb < 8 THEN 'RASTER' ELSE type END AS type) FROM latest
+  WHERE type IS NOT NULL AND file_path IN (SELECT file_path FROM listing)
+)"""
+
+
+# ------------------------------------------------------------------ header rows, from events
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One card per ``(exposure_id, image_no, key)``: the one of the lowest event."""
+    e = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("exposure_id"),
+        (F.col("event_id") % 2).cast("int").alias("image_no"),
+        F.upper("event_type").alias("key"),
+        F.struct("event_id", "value").alias("e"),
+    )
+    first = e.groupBy("exposure_id", "image_no", "key").agg(F.min_by("e", F.col("e.event_id")).alias("e"))
+    n, v = F.col("e.event_id"), F.col("e.value")
+    kind = F.get(F.array(*map(F.lit, ("int", "float", "bool", "str"))), (n % 4).cast("int"))
+    return first.select("exposure_id", "image_no", "key", kind.alias("vtype"), n.alias("n"), v.alias("v")).select(
+        "exposure_id", "image_no", "key", "vtype",
+        F.when(F.col("vtype") == "str", F.concat(F.lit("s"), F.col("n"))).alias("value_str"),
+        F.when(F.col("vtype") == "int", F.col("n").cast("double")).when(F.col("vtype") == "float", F.col("v")).alias("value_double"),
+        F.when(F.col("vtype") == "bool", F.col("n") % 3 == 0).alias("value_bool"),
+    )
+
+
+HEADERS_SQL = """
+headers AS (
+  SELECT exposure_id, image_no, key, vtype,
+         CASE WHEN vtype = 'str' THEN 's' || n END AS value_str,
+         CASE vtype WHEN 'int' THEN CAST(n AS DOUBLE) WHEN 'float' THEN v END AS value_double,
+         CASE WHEN vtype = 'bool' THEN n % 3 = 0 END AS value_bool
+  FROM (SELECT exposure_id, image_no, key, n, v, (['int', 'float', 'bool', 'str'])[n % 4 + 1] AS vtype
+    FROM (SELECT user_id AS exposure_id, CAST(event_id % 2 AS INTEGER) AS image_no, upper(event_type) AS key,
+                 min(event_id) AS n, arg_min(value, event_id) AS v FROM events GROUP BY ALL))
+)"""
+
+
+# ------------------------------------------------------------------ text lines, from events
+
+
+def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather text as it lies in the yearly files; minutes repeat."""
+    e = table(spark, sf_dir, "events")
+    t = F.col("ts")
+    parts = [F.year(t), F.month(t), F.day(t), F.hour(t), F.minute(t)]
+    pressure = F.when(F.col("event_type") != "error", (600 + F.col("user_id") % 30).cast("string"))
+    fields = [
+        *parts,
+        (F.floor("value") % 60),
+        F.col("event_id") % 360,
+        F.round(F.col("value") / 20, 1),
+        F.col("user_id") % 101,
+    ]
+    text = F.concat_ws(" ", *[f.cast("string") for f in fields], pressure)
+    return e.select(
+        text.alias("value"),
+        (F.col("event_id") % 2).cast("int").alias("source_rank"),
+        F.col("event_id").alias("line_no"),
+    )
+
+
+WEATHER_SQL = """
+weather AS (
+  SELECT date_trunc('minute', ts) + INTERVAL 10 HOUR AS time,
+         CAST(CAST(floor(value) AS BIGINT) % 60 AS INTEGER) AS wind_speed,
+         CAST(event_id % 360 AS INTEGER) AS wind_direction,
+         round(value / 20, 1) AS temperature,
+         CAST(user_id % 101 AS INTEGER) AS relative_humidity,
+         CASE WHEN event_type <> 'error' THEN CAST(600 + user_id % 30 AS DOUBLE) END AS pressure,
+         CAST(event_id % 2 AS INTEGER) AS source_rank, event_id AS line_no
+  FROM events
+),
+newest AS (SELECT * FROM weather QUALIFY row_number() OVER (PARTITION BY time ORDER BY source_rank DESC, line_no DESC) = 1)"""
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-log text: errors lack the blank at the end, views lack the marker."""
+    e = table(spark, sf_dir, "events")
+    stamp = F.format_string(
+        "%s %s %2d %s UTC %d",
+        F.date_format("ts", "EEE"), F.date_format("ts", "MMM"), F.day("ts"), F.date_format("ts", "HH:mm:ss"), F.year("ts"),
+    )
+    marker = F.when(F.col("event_type") == "view", F.lit("shutter")).otherwise(F.lit("SNIFS_on"))
+    channel = F.when(F.col("event_id") % 2 == 0, "B").otherwise("R")
+    end = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit(" "))
+    digit = (F.col("event_id") % 10).cast("string")
+    return e.select(F.concat(marker, F.lit(" 1 "), digit, F.lit(" "), channel, F.lit(" ==>"), stamp, end).alias("value"))
+
+
+# ------------------------------------------------------------------ image files, from embeddings
+
+
+def _card(key: str, value) -> F.Column:
+    return F.rpad(F.concat(F.lit(f"{key:<8}= "), value), 80, " ")
+
+
+def _text(value):
+    quoted = F.concat(F.lit("'"), F.rpad(value, 8, " "), F.lit("'"))
+    return quoted
+
+
+def _number(value):
+    return F.lpad(value.cast("string"), 20, " ")
+
+
+def _header(*cards):
+    text = F.concat(*cards, F.rpad(F.lit("END"), 80, " "))
+    blocks = F.ceil(F.length(text) / F.lit(2880.0)).cast("int") * 2880
+    return F.rpad(text, blocks, " ").cast("binary")
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One two-image file per exposure of :func:`lines`: ``(file_path, length, content)``."""
+    cells = lines(spark, sf_dir).select(
+        "exposure_id", "channel", "amp", "x", F.posexplode("data").alias("y", "raw")
+    )
+    # Images are stored row by row: x runs fastest; readings are shifted by 32768.
+    word = F.lpad(F.hex((F.col("raw") - 32768).bitwiseAND(F.lit(0xFFFF))), 4, "0")
+    images = cells.groupBy("exposure_id", "channel", "amp").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("y", "x", word.alias("w")))), lambda c: c["w"]), ""
+        ).alias("hex")
+    )
+    block = 2 * 2880
+    padded = F.rpad("hex", F.ceil(F.length("hex") / F.lit(float(block))).cast("int") * block, "0")
+    image = F.concat(
+        _header(
+            _card("XTENSION", F.lit("'IMAGE   '")), _card("BITPIX", F.lit("16")), _card("NAXIS", F.lit("2")),
+            _card("NAXIS1", _number(F.lit(X_EXTENT))), _card("NAXIS2", _number(F.lit(64))),
+            _card("PCOUNT", F.lit("0")), _card("GCOUNT", F.lit("1")), _card("BSCALE", F.lit("1")),
+            _card("BZERO", F.lit("32768 / unsigned")), _card("DATASEC", _text(F.lit(DATASEC))),
+            _card("BIASSEC", _text(F.lit(BIASSEC))), _card("SATURATE", F.lit("42000.0")),
+        ),
+        F.unhex(padded),
+    )
+    files = images.groupBy("exposure_id", "channel").agg(
+        F.array_sort(F.collect_list(F.struct("amp", image.alias("bytes")))).alias("parts")
+    )
+    n = F.col("exposure_id")
+    kind = F.when(n % 3 == 0, "OBJECT").otherwise("FLAT")
+    primary = _header(
+        _card("SIMPLE", F.lit("T")), _card("BITPIX", F.lit("8")), _card("NAXIS", F.lit("0")),
+        _card("OBSTYPE", _text(kind)), _card("RUNID", _text(F.concat(F.lit("run"), n % 4))),
+        _card("UTC", F.format_string("'2024-01-01T00:00:%02d'", n % 60)), _card("DATE-OBS", _number(n + 1700000000)),
+        _card("EXPTIME", F.concat((n % 50).cast("string"), F.lit(".5 / seconds"))), _card("DARKTIME", _number(n)),
+        _card("ROTANGLE", F.lit("1.5D1")), _card("OBJECT", F.lit("'O''Neil  '")), _card("CHANNEL", _text(F.col("channel"))),
+        _card("FILTER", F.lit("")),
+    )
+    first, second = F.get("parts", F.lit(0))["bytes"], F.get("parts", F.lit(1))["bytes"]
+    content = F.concat(primary, first, second)
+    path = F.format_string("raw/runs/run_id=%d/exposure_%d.fits", F.expr("exposure_id div 10"), n)
+    return files.select(path.alias("file_path"), F.length(content).cast("long").alias("length"), content.alias("content"))
