@@ -69,19 +69,22 @@ def exact_percentiles(
     # Only values of the held buckets go on, as counts of distinct values.
     span = F.col("_hi") - F.col("_lo")
     fine = F.when(span > 0, F.floor((x - F.col("_lo")) / span * LINEAR_STEPS)).otherwise(F.lit(0))
-    kept = v.join(buckets.select(*group, "_b", "_lo", "_hi"), [*group, "_b"])
-    distinct = kept.groupBy(*group, "_b", fine.alias("_s"), "_v").agg(F.count("*").alias("_n"))
+    kept = v.join(buckets, [*group, "_b"])
+    # Offset and total are constant per bucket; they ride along so that no later join needs them.
+    distinct = kept.groupBy(*group, "_b", fine.alias("_s"), "_v").agg(
+        F.count("*").alias("_n"), F.min("_before").alias("_before"), F.min("_total").alias("_total")
+    )
 
-    level2 = distinct.groupBy(*group, "_b", "_s").agg(F.sum("_n").alias("_n"))
-    within = Window.partitionBy(*group, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
-    level2 = level2.withColumn("_past", F.sum("_n").over(within) - F.col("_n")).join(
-        buckets.select(*group, "_b", "_before", "_total"), [*group, "_b"]
+    level2 = distinct.groupBy(*group, "_b", "_s").agg(
+        F.sum("_n").alias("_n"), F.min("_before").alias("_before"), F.min("_total").alias("_total")
     )
-    level2 = level2.withColumn("_before", F.col("_before") + F.col("_past"))
+    within = Window.partitionBy(*group, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
+    level2 = level2.withColumn("_before", F.col("_before") + F.sum("_n").over(within) - F.col("_n"))
     held = F.size(_ranks_inside(probabilities, F.col("_total"), F.col("_before"), F.col("_n"))) > 0
     cells = level2.filter(held).select(*group, "_b", "_s", "_before", "_total")
 
-    last = distinct.join(cells, [*group, "_b", "_s"])
+    # The same grouping as above: its exchange is computed once and read twice.
+    last = distinct.drop("_before", "_total").join(cells, [*group, "_b", "_s"])
     in_cell = Window.partitionBy(*group, "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     last = last.withColumn("_before", F.col("_before") + F.sum("_n").over(in_cell) - F.col("_n"))
     ranks = _ranks_inside(probabilities, F.col("_total"), F.col("_before"), F.col("_n"))

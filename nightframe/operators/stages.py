@@ -39,24 +39,40 @@ def stage_rows(snapshots: DataFrame, steps: Sequence[tuple[str, D.Step]] = D.STE
     return snapshots.select("exposure_id", "amp", "x", "y", F.inline(F.array(*stages)))
 
 
+def in_zoom(start: tuple[int, int] = ZOOM_START, size: tuple[int, int] = ZOOM_SIZE) -> Column:
+    (x0, y0), (nx, ny) = start, size
+    return F.col("x").between(x0, x0 + nx - 1) & F.col("y").between(y0, y0 + ny - 1)
+
+
 def zoom(
     pixels: DataFrame, start: tuple[int, int] = ZOOM_START, size: tuple[int, int] = ZOOM_SIZE
 ) -> DataFrame:
-    (x0, y0), (nx, ny) = start, size
-    return pixels.filter(F.col("x").between(x0, x0 + nx - 1) & F.col("y").between(y0, y0 + ny - 1))
+    return pixels.filter(in_zoom(start, size))
 
 
 def stretch_limits(
-    stages: DataFrame, probabilities: Sequence[float] = STRETCH, exact: bool = True
+    stages: DataFrame,
+    start: tuple[int, int] = ZOOM_START,
+    size: tuple[int, int] = ZOOM_SIZE,
+    probabilities: Sequence[float] = STRETCH,
+    exact: bool = True,
 ) -> DataFrame:
-    """Display limits per exposure over data and variance of all stages of amplifier 0."""
-    both = stages.filter(F.col("amp") == 0).select(
-        "exposure_id", F.explode(F.array("value", "variance")).alias("number")
+    """Display limits over data and variance of all stages of amplifier 0.
+
+    ``(exposure_id, frame, low, high)`` with frame ``full`` or ``zoom``; both in one go, so the
+    stages are computed once per pass and not once per frame.
+    """
+    frames = F.array_compact(F.array(F.lit("full"), F.when(in_zoom(start, size), F.lit("zoom"))))
+    numbers = (
+        stages.filter(F.col("amp") == 0)
+        .select("exposure_id", F.explode(frames).alias("frame"), "value", "variance")
+        .select("exposure_id", "frame", F.explode(F.array("value", "variance")).alias("number"))
     )
     find = Q.exact_percentiles if exact else Q.approximate_percentiles
-    found = find(both, ["exposure_id"], "number", probabilities)
+    found = find(numbers, ["exposure_id", "frame"], "number", probabilities)
     return found.select(
         "exposure_id",
+        "frame",
         F.element_at("percentiles", 1).alias("low"),
         F.element_at("percentiles", -1).alias("high"),
     )

@@ -342,8 +342,7 @@ def _card(key: str, value) -> F.Column:
 
 
 def _text(value):
-    quoted = F.concat(F.lit("'"), F.rpad(value, 8, " "), F.lit("'"))
-    return quoted
+    return F.concat(F.lit("'"), F.rpad(value, F.greatest(F.length(value), F.lit(8)), F.lit(" ")), F.lit("'"))
 
 
 def _number(value):

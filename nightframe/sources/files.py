@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,6 +28,32 @@ def read_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_selected(spark: SparkSession, root: str, wanted: DataFrame, batch: int = 100_000) -> DataFrame:
+    """Content of the ``wanted`` paths only.
+
+    A join with the binary scan would read every file first. Spark's file index keeps all paths
+    of a scan on the driver anyway, so the wanted ones are handed to it as the scan's paths, in
+    batches; no content passes the driver.
+    """
+    base = root.rstrip("/")
+    parts, names = [], []
+
+    def scan() -> DataFrame:
+        escaped = [f"{base}/" + re.sub(r"([\[\]{}*?\\])", r"\\\1", n) for n in names]
+        loaded = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(escaped)
+        path = paths.relative_to(F.col("path"), root).alias("file_path")
+        return loaded.select(path, "length", "modificationTime", "content")
+
+    for row in wanted.select("file_path").toLocalIterator():
+        names.append(row["file_path"])
+        if len(names) == batch:
+            parts.append(scan())
+            names = []
+    if names or not parts:
+        parts.append(scan() if names else read_files(spark, root).limit(0))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     return read_files(spark, root).drop("content")
 
