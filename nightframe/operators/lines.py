@@ -213,18 +213,25 @@ def split_lines(lines: DataFrame, axis: str = "y") -> DataFrame:
     ``struct<amp, datasec, biassec>``. Exposures that already have two images pass through.
     """
     images = F.col("image_sections")
-    placed = []
+    placed, lows, highs = [], [], []
     for i in AMPS:
         image = F.get(images, F.lit(i))
         d, b = S.parse_section(image["datasec"]), S.parse_section(image["biassec"])
+        start = d["x_max"] - d["x_min"] if axis == "x" else F.lit(0)
+        lows.append(start)
+        highs.append(start + b["x_max"] - b["x_min"])
         placed.append(_place_line(image["amp"], d, d, b, axis, bias=False))
         if axis == "x":
             placed.append(_place_line(image["amp"], b, d, b, axis, bias=True))
-    keep = [c for c in lines.columns if c not in ("amp", "x", "data", "datasec", "biassec", "image_sections")]
+    remade = ("amp", "x", "data", "datasec", "biassec", "x_extent", "bias_lo", "bias_hi", "image_sections")
+    keep = [c for c in lines.columns if c not in remade]
     cells = lines.filter(images.isNotNull()).select(
-        *keep, F.explode(F.array_compact(F.array(*placed))).alias("_p")
+        *keep,
+        F.least(*lows).alias("bias_lo"),
+        F.greatest(*highs).alias("bias_hi"),
+        F.explode(F.array_compact(F.array(*placed))).alias("_p"),
     )
-    split = cells.select(*keep, "_p.*")
+    split = cells.select(*keep, "bias_lo", "bias_hi", "_p.*")
     whole = lines.filter(images.isNull()).drop("image_sections")
     return whole.unionByName(split, allowMissingColumns=True)
 
@@ -247,11 +254,11 @@ def _place_line(amp: Column, section: Column, d: Column, b: Column, axis: str, b
             F.raise_error(F.lit("data and bias sections differ in x")).cast("array<int>")
         )
         bias_label = S.section_label(bx, by, F.lit(0), dy)
-        bias_lo, bias_hi, extent = F.lit(0), bx, dx
+        extent = dx
     else:
         data = cut(section)
         bias_label = S.section_label(bx, by, dx, F.lit(0))
-        bias_lo, bias_hi, extent = dx, dx + bx, dx + bx
+        extent = dx + bx
     line = F.struct(
         amp.cast("int").alias("amp"),
         x_new.cast("int").alias("x"),
@@ -259,7 +266,5 @@ def _place_line(amp: Column, section: Column, d: Column, b: Column, axis: str, b
         S.section_label(dx, dy).alias("datasec"),
         bias_label.alias("biassec"),
         extent.cast("int").alias("x_extent"),
-        bias_lo.cast("int").alias("bias_lo"),
-        bias_hi.cast("int").alias("bias_hi"),
     )
     return F.when((x >= section["x_min"]) & (x < section["x_max"]), line)
