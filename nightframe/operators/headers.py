@@ -160,9 +160,12 @@ def split_header(header: DataFrame, by: str = "file_path", axis: str = "y") -> D
             none.cast("boolean").alias("value_bool"),
         )
 
+    facts = facts.withColumns(
+        {f"{s}{i}": S.parse_section(F.col(f"{s}{i}")) for s in ("DATASEC", "BIASSEC") for i in (0, 1)}
+    )
     derived = []
     for i in (0, 1):
-        d, b = S.parse_section(F.col(f"DATASEC{i}")), S.parse_section(F.col(f"BIASSEC{i}"))
+        d, b = F.col(f"DATASEC{i}"), F.col(f"BIASSEC{i}")
         dx, dy = d["x_max"] - d["x_min"], d["y_max"] - d["y_min"]
         bx, by_ = b["x_max"] - b["x_min"], b["y_max"] - b["y_min"]
         x0, y0 = (dx, F.lit(0)) if axis == "x" else (F.lit(0), dy)

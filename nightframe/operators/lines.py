@@ -213,19 +213,25 @@ def split_lines(lines: DataFrame, axis: str = "y") -> DataFrame:
     ``struct<amp, datasec, biassec>``. Exposures that already have two images pass through.
     """
     images = F.col("image_sections")
-    placed, lows, highs = [], [], []
+    # Sections become columns first; inlined, each of their many uses would parse the label anew.
+    parsed = {}
     for i in AMPS:
         image = F.get(images, F.lit(i))
-        d, b = S.parse_section(image["datasec"]), S.parse_section(image["biassec"])
+        parsed[f"_amp{i}"] = image["amp"]
+        parsed[f"_d{i}"] = S.parse_section(image["datasec"])
+        parsed[f"_b{i}"] = S.parse_section(image["biassec"])
+    placed, lows, highs = [], [], []
+    for i in AMPS:
+        amp, d, b = F.col(f"_amp{i}"), F.col(f"_d{i}"), F.col(f"_b{i}")
         start = d["x_max"] - d["x_min"] if axis == "x" else F.lit(0)
         lows.append(start)
         highs.append(start + b["x_max"] - b["x_min"])
-        placed.append(_place_line(image["amp"], d, d, b, axis, bias=False))
+        placed.append(_place_line(amp, d, d, b, axis, bias=False))
         if axis == "x":
-            placed.append(_place_line(image["amp"], b, d, b, axis, bias=True))
+            placed.append(_place_line(amp, b, d, b, axis, bias=True))
     remade = ("amp", "x", "data", "datasec", "biassec", "x_extent", "bias_lo", "bias_hi", "image_sections")
     keep = [c for c in lines.columns if c not in remade]
-    cells = lines.filter(images.isNotNull()).select(
+    cells = lines.filter(images.isNotNull()).withColumns(parsed).select(
         *keep,
         F.least(*lows).alias("bias_lo"),
         F.greatest(*highs).alias("bias_hi"),

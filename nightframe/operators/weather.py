@@ -17,6 +17,7 @@ FIELDS = {
     "wind_speed": "int", "wind_direction": "int", "temperature": "double",
     "relative_humidity": "int", "pressure": "double",
 }
+TIME_FIELDS = 5
 FRESH_MINUTES = 5
 REPORT_DAYS = 30
 LOOKBACK_DAYS = 7
@@ -26,7 +27,7 @@ def parse(lines: DataFrame) -> DataFrame:
     """Text lines to the weather schema; other columns of the lines are kept behind it."""
     tokens = F.split("value", " ")
     part = {name: F.get(tokens, F.lit(i)).try_cast(kind) for i, (name, kind) in enumerate(FIELDS.items())}
-    time = times.local_parts(*[part[n] for n in ("year", "month", "day", "hour", "minute")])
+    time = times.local_minute(F.substring_index("value", " ", TIME_FIELDS))
     rest = [c for c in lines.columns if c != "value"]
     return lines.select(
         time.alias("time"), *[part[f.name].alias(f.name) for f in schemas.WEATHER_ROWS if f.name != "time"], *rest

@@ -20,9 +20,7 @@ from nightframe.sources import fits
 def fits_headers(spark, sf):
     """Every card of every HDU."""
     h = fits.header_rows(V.image_files(spark, sf))
-    return h.select("file_path", "hdu", "key", "vtype", H.shown_value().alias("value"), "has_data").filter(
-        F.col("vtype") != "float"
-    )
+    return h.select("file_path", "hdu", "key", "vtype", H.shown_value().alias("value"), "has_data")
 
 
 def fits_catalog(spark, sf):
@@ -51,6 +49,16 @@ def fits_one_hdu(spark, sf):
     return fits.with_zero_variance(L.transpose(L.to_pixels(lines))).select("exposure_id", "x", "y", "value", "variance")
 
 
+def fits_images(spark, sf):
+    """Lines with the header of their image attached."""
+    lines = fits.images_with_headers(V.image_files(spark, sf))
+    return lines.select(
+        "exposure_id", "hdu", "x", F.col("header")["BIASSEC"].alias("biassec"), F.size("header").alias("cards"),
+        F.size("variance").alias("cells"), F.element_at("variance", -1).alias("last_variance"),
+        F.element_at("data", -1).alias("last_value"),
+    )
+
+
 def preprocess_files(spark, sf):
     """The whole chain from file bytes."""
     lines = fits.image_lines(V.image_files(spark, sf), integer=True)
@@ -60,7 +68,7 @@ def preprocess_files(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (fits_headers, fits_catalog, fits_data_headers, fits_lines, fits_one_hdu, preprocess_files)
+    for f in (fits_headers, fits_catalog, fits_data_headers, fits_lines, fits_one_hdu, fits_images, preprocess_files)
 }
 
 _FILES = """
@@ -81,13 +89,15 @@ SELECT file_path, CAST(0 AS INTEGER) AS hdu, key, vtype, value, false AS has_dat
     {'key': 'UTC', 'vtype': 'str', 'value': '2024-01-01T00:00:' || lpad(CAST(n % 60 AS VARCHAR), 2, '0')},
     {'key': 'DATE-OBS', 'vtype': 'int', 'value': CAST(1700000000 + n AS VARCHAR)},
     {'key': 'DARKTIME', 'vtype': 'int', 'value': CAST(n AS VARCHAR)},
+    {'key': 'EXPTIME', 'vtype': 'float', 'value': n % 50 || '.5'}, {'key': 'ROTANGLE', 'vtype': 'float', 'value': '15.0'},
     {'key': 'OBJECT', 'vtype': 'str', 'value': 'O''Neil'}, {'key': 'CHANNEL', 'vtype': 'str', 'value': channel}], recursive := true)
   FROM files)
 UNION ALL
 SELECT file_path, CAST(hdu AS INTEGER), key, vtype, value, true FROM files, (VALUES (1), (2)) AS h(hdu), (VALUES
   ('XTENSION', 'str', 'IMAGE'), ('BITPIX', 'int', '16'), ('NAXIS', 'int', '2'), ('NAXIS1', 'int', '25'), ('NAXIS2', 'int', '64'),
   ('PCOUNT', 'int', '0'), ('GCOUNT', 'int', '1'), ('BSCALE', 'int', '1'), ('BZERO', 'int', '32768'),
-  ('DATASEC', 'str', '[1:20,1:64]'), ('BIASSEC', 'str', '[21:25,1:60]')) AS c(key, vtype, value)""",
+  ('DATASEC', 'str', '[1:20,1:64]'), ('BIASSEC', 'str', '[21:25,1:60]'),
+  ('SATURATE', 'float', '42000.0')) AS c(key, vtype, value)""",
     ),
     "fits_catalog": _q(
         V.LINES_SQL, _FILES,
@@ -115,6 +125,12 @@ FROM files, (VALUES (0), (1)) AS h(k), (VALUES ('SATURATE', 42000), ('BZERO', 32
         V.LINES_SQL,
         select=f"""SELECT {_PATH} AS exposure_id, x AS y, y AS x, CAST(raw AS DOUBLE) AS value, CAST(0 AS DOUBLE) AS variance
   FROM pixels WHERE amp = 1""",
+    ),
+    "fits_images": _q(
+        V.LINES_SQL,
+        select=f"""SELECT {_PATH} AS exposure_id, CAST(amp + 1 AS INTEGER) AS hdu, x, '[21:25,1:60]' AS biassec,
+  CAST(12 AS INTEGER) AS cards, CAST(count(*) AS INTEGER) AS cells, CAST(0 AS DOUBLE) AS last_variance,
+  CAST(arg_max(raw, y) AS DOUBLE) AS last_value FROM pixels GROUP BY ALL""",
     ),
     "preprocess_files": _q(
         *_CHAIN, select=f"SELECT {_PATH} AS exposure_id, amp, x, y, value, variance FROM corrected"

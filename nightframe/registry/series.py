@@ -90,7 +90,6 @@ def header_get(spark, sf):
 def header_pivot(spark, sf):
     """Known cards as columns, one row per image."""
     h = V.headers(spark, sf).withColumn("shown", H.shown_value())
-    h = h.filter(F.col("vtype") != "float")
     keys = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
     p = h.groupBy("exposure_id", "image_no").pivot("key", keys).agg(F.max("shown"))
     return p.select("exposure_id", "image_no", *[F.col(k).alias(k.lower()) for k in keys])
@@ -105,7 +104,7 @@ def header_merge_last(spark, sf):
 
 
 def _maps(spark, sf):
-    m = H.as_maps(V.headers(spark, sf).filter(F.col("vtype") != "float"))
+    m = H.as_maps(V.headers(spark, sf))
     empty = F.create_map().cast("map<string,string>")
     of = [
         F.coalesce(F.first(F.when(F.col("image_no") == i, F.col("header")), ignorenulls=True), empty).alias(f"h{i}")
@@ -137,8 +136,8 @@ QUERIES = {
 _W = "time, wind_speed, wind_direction, temperature, relative_humidity, pressure"
 _TEXT = """
 shown AS (SELECT exposure_id, image_no, key, CASE vtype WHEN 'str' THEN value_str
-  WHEN 'int' THEN CAST(CAST(value_double AS BIGINT) AS VARCHAR) WHEN 'bool' THEN CAST(value_bool AS VARCHAR) END AS value
-  FROM headers WHERE vtype <> 'float')"""
+  WHEN 'int' THEN CAST(CAST(value_double AS BIGINT) AS VARCHAR) WHEN 'bool' THEN CAST(value_bool AS VARCHAR) WHEN 'float' THEN CAST(value_double AS VARCHAR) END AS value
+  FROM headers)"""
 
 ORACLE = {
     "weather_parse": _q(V.WEATHER_SQL, select=f"SELECT {_W}, source_rank, line_no FROM weather"),

@@ -7,6 +7,7 @@ HDUs are read.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 
@@ -160,11 +161,12 @@ def _bias_span(images: list[dict]) -> tuple[int | None, int | None]:
     return (min(ends) - 1, max(ends)) if ends else (None, None)
 
 
-def _line_batches(integer: bool):
+def _line_batches(integer: bool, with_header: bool):
+    fields = [*_LINE_FIELDS, ("header", pa.string())] if with_header else _LINE_FIELDS
     kind, dtype = (pa.int32(), np.int32) if integer else (pa.float64(), np.float64)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [n for n, _ in _LINE_FIELDS]
+        names = [n for n, _ in fields]
         for path, content in _files(batches):
             parts = list(hdus(content))
             primary = parts[0][1] if parts else {}
@@ -191,6 +193,7 @@ def _line_batches(integer: bool):
                     "saturate": None if level is None else float(level),
                     "x_extent": pixels.shape[0], "bias_lo": low, "bias_hi": high,
                     "image_sections": split,
+                    "header": json.dumps(dict(sorted(cards.items()))) if with_header else None,
                 }
                 for start in range(0, pixels.shape[0], LINES_PER_BATCH):
                     block = np.ascontiguousarray(pixels[start : start + LINES_PER_BATCH], dtype)
@@ -201,7 +204,7 @@ def _line_batches(integer: bool):
                         "data": pa.ListArray.from_arrays(pa.array(offsets), pa.array(block.reshape(-1), kind)),
                     }
                     yield pa.RecordBatch.from_arrays(
-                        [moving[f] if f in moving else pa.array([constant[f]] * n, t) for f, t in _LINE_FIELDS],
+                        [moving[f] if f in moving else pa.array([constant[f]] * n, t) for f, t in fields],
                         names=names,
                     )
 
@@ -214,8 +217,14 @@ def image_lines(files: DataFrame, integer: bool = False) -> DataFrame:
     ``exposure_id`` is the file path and ``amp`` counts the images of the file. ``integer``
     keeps detector readings as 32-bit integers, as the bit-level corrections need them.
     """
-    kind = "INT" if integer else "DOUBLE"
-    return files.select("file_path", "content").mapInArrow(_line_batches(integer), _LINE_DDL.format(kind=kind))
+    return _decode(files, integer, with_header=False)
+
+
+def _decode(files: DataFrame, integer: bool, with_header: bool) -> DataFrame:
+    schema = _LINE_DDL.format(kind="INT" if integer else "DOUBLE")
+    if with_header:
+        schema += ", header STRING"
+    return files.select("file_path", "content").mapInArrow(_line_batches(integer, with_header), schema)
 
 
 def lines_of(lines: DataFrame, hdu: int) -> DataFrame:
@@ -227,9 +236,13 @@ def with_zero_variance(pixels: DataFrame) -> DataFrame:
     return pixels.withColumn("variance", F.lit(0.0))
 
 
-def images_with_headers(lines: DataFrame, header: DataFrame) -> DataFrame:
-    """Lines with their image's cards as a map. The join meets one row per image."""
-    from nightframe.operators.headers import as_maps
+def images_with_headers(files: DataFrame, integer: bool = False) -> DataFrame:
+    """Lines with all cards of their image as a map ``header``, and zero variance.
 
-    maps = as_maps(header.filter("has_data"), ("file_path", "hdu"))
-    return lines.join(maps.withColumnRenamed("file_path", "exposure_id"), ["exposure_id", "hdu"], "left")
+    The decoder holds the cards anyway, so they travel with the lines as text and no join of
+    lines with header rows is needed.
+    """
+    lines = _decode(files, integer, with_header=True)
+    cards = F.from_json("header", "map<string,string>")
+    variance = F.transform("data", lambda _: F.lit(0.0))
+    return lines.withColumns({"header": cards, "variance": variance})

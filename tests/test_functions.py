@@ -112,12 +112,17 @@ def test_times_ignore_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-        parts = [F.lit(x) for x in (2024, 1, 31, 23, 30)]
         r = spark.range(1).select(
-            times.utc_wall_clock(times.local_parts(*parts)).alias("a"),
+            times.utc_wall_clock(times.local_minute(F.lit("2024 1 31 23 30"))).alias("a"),
             times.utc_wall_clock(times.header_time(F.lit("str"), F.lit(None), F.lit("2024-01-02T03:04:05"))).alias("b"),
             times.utc_wall_clock(times.header_time(F.lit("int"), F.lit(0.0), F.lit(None))).alias("c"),
         ).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert (str(r.a), str(r.b), str(r.c)) == ("2024-02-01 09:30:00", "2024-01-02 03:04:05", "1970-01-01 00:00:00")
+
+
+def test_impossible_minutes_are_null(spark):
+    f = lambda c: times.local_minute(c)
+    got = column(spark, ["2024 13 1 0 0", "2024 02 09 07 05", "2024 1", "x 1 1 1 1"], "string", f)
+    assert got[0] is None and str(got[1]) == "2024-02-09 17:05:00" and got[2:] == [None, None]
