@@ -68,13 +68,12 @@ def saturation_pixels(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_parameters(paired: DataFrame, parameters: DataFrame, strict: bool = True) -> DataFrame:
-    """Add ``parameters0``/``parameters1``, the exposure's bit-offset parameters, to paired lines.
+def with_parameters(paired: DataFrame, strict: bool = True) -> DataFrame:
+    """Split column ``parameters`` of paired lines into ``parameters0``/``parameters1``.
 
-    ``parameters`` has ``(exposure_id, x_block, parameters)``. With ``strict`` an exposure
-    without a valid model fails the query; otherwise it is left uncorrected.
+    With ``strict`` an exposure without a valid model fails the query; otherwise it is left
+    uncorrected.
     """
-    p = paired.join(parameters, list(L.BLOCK_KEYS), "left")
     model = F.col("parameters")
     usable = F.coalesce(valid_model(model), F.lit(False))
     if strict:
@@ -85,7 +84,7 @@ def with_parameters(paired: DataFrame, parameters: DataFrame, strict: bool = Tru
     else:
         zeros = F.array_repeat(F.lit(0.0), bits.PARAMETERS_PER_IMAGE)
         fallback = F.array(zeros, zeros)
-    p = p.withColumn("parameters", F.when(usable, model).otherwise(fallback))
+    p = paired.withColumn("parameters", F.when(usable, model).otherwise(fallback))
     return p.withColumns(
         {f"parameters{amp}": F.get("parameters", F.lit(amp)) for amp in L.AMPS}
     ).drop("parameters")

@@ -111,6 +111,16 @@ def pair_lines(lines: DataFrame) -> DataFrame:
     return paired.withColumn("data0", checked).drop("_images")
 
 
+def with_exposure(paired: DataFrame, per_exposure: DataFrame) -> DataFrame:
+    """Attach one row per exposure to its paired lines.
+
+    ``per_exposure`` has ``exposure_id`` and ``x_extent``; it is repeated once per x block, so
+    both sides meet on the lines' own shuffle key and no exposure ends up in one task.
+    """
+    spread = per_exposure.withColumn("x_block", F.explode(x_blocks(F.col("x_extent")))).drop("x_extent")
+    return paired.join(spread, list(BLOCK_KEYS), "left")
+
+
 def per_amplifier(paired: DataFrame, per_image: tuple[str, ...], shared: tuple[str, ...] = ()) -> DataFrame:
     """Paired lines to one row per amplifier, each still holding the other's readings.
 

@@ -183,19 +183,13 @@ def overscan_model(
 
 
 def model_per_exposure(model: DataFrame) -> DataFrame:
-    """Fold the two images' models into one row per exposure and spread it over x blocks."""
+    """Fold the two images' models into one row per exposure: ``model0``, ``model1``."""
     fields = [c for c in model.columns if c not in (*IMAGE_KEYS, "x_extent")]
-    folded = model.groupBy("exposure_id").agg(
-        F.max("x_extent").alias("x_extent"),
+    return model.groupBy("exposure_id").agg(
         *[
             F.first(F.when(F.col("amp") == amp, F.struct(*fields)), ignorenulls=True).alias(f"model{amp}")
             for amp in L.AMPS
-        ],
-    )
-    return folded.select(
-        "exposure_id",
-        F.explode(L.x_blocks(F.col("x_extent"))).alias("x_block"),
-        *[f"model{amp}" for amp in L.AMPS],
+        ]
     )
 
 

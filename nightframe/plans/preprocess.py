@@ -21,20 +21,19 @@ def exposures_of(lines: DataFrame) -> DataFrame:
 
 
 def exposure_parameters(lines: DataFrame, models: DataFrame) -> DataFrame:
-    """Bit-offset parameters per exposure and x block.
+    """Bit-offset parameters per exposure: ``(exposure_id, x_extent, parameters)``.
 
     ``models`` has ``(channel, parameters)``, one row per channel. The join runs on one row
     per exposure, never on lines, so a channel holding half of all exposures moves little.
     """
     e = exposures_of(lines).join(models.select("channel", "parameters"), "channel", "left")
-    return e.select(
-        "exposure_id", F.explode(L.x_blocks(F.col("x_extent"))).alias("x_block"), "parameters"
-    )
+    return e.select("exposure_id", "x_extent", "parameters")
 
 
 def bias_of_corrected(lines: DataFrame, parameters: DataFrame, strict: bool = True) -> DataFrame:
     """Bias pixels after the bit-offset correction; other lines never reach the exchange."""
-    paired = D.with_parameters(L.pair_lines(O.bias_lines(lines)), parameters, strict)
+    paired = L.with_exposure(L.pair_lines(O.bias_lines(lines)), parameters)
+    paired = D.with_parameters(paired, strict)
     pixels = D.correction_terms(paired, saturation=False, carry=("bias",))
     return O.bias_pixels(pixels.withColumn("value", F.col("raw") - F.col("bit_offset")))
 
@@ -62,12 +61,14 @@ def preprocess(
     """Corrected pixels of every exposure, with their correction terms.
 
     Two passes over the lines: a small one over the bias lines for the models, and the main
-    one, which shuffles each line once and explodes it once.
+    one, which shuffles each line once, joins it once and explodes it once.
     """
     parameters = exposure_parameters(lines, models)
-    model = O.model_per_exposure(overscan_models(lines, models, provenance, strict))
-    paired = D.with_parameters(L.pair_lines(lines), parameters, strict)
-    paired = paired.join(model, list(L.BLOCK_KEYS), "left")
+    bias = bias_of_corrected(lines, parameters, strict)
+    done = None if provenance is None else O.steps_done(provenance)
+    model = O.model_per_exposure(O.overscan_model(O.bias_profile(bias), done=done))
+    calibration = parameters.join(model, "exposure_id", "left")
+    paired = D.with_parameters(L.with_exposure(L.pair_lines(lines), calibration), strict)
     missing = F.raise_error(
         F.concat(F.lit("no bias section in exposure "), F.col("exposure_id").cast("string"))
     )

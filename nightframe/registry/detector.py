@@ -49,7 +49,8 @@ def bit_index_sum(spark, sf):
 
 def bit_offset_correct(spark, sf):
     lines = V.lines(spark, sf)
-    paired = D.with_parameters(L.pair_lines(lines), P.exposure_parameters(lines, _models(spark)))
+    parameters = P.exposure_parameters(lines, _models(spark))
+    paired = D.with_parameters(L.with_exposure(L.pair_lines(lines), parameters))
     p = D.bit_offset(D.start_images(D.correction_terms(paired, saturation=False)))
     return p.select("exposure_id", "amp", "x", "y", r4("value").alias("value"))
 
@@ -134,7 +135,8 @@ def _raw_overscan(spark, sf, steps, apply_even_odd=True):
     """Overscan steps on raw images, without the bit-offset correction."""
     lines = V.lines(spark, sf)
     model = O.overscan_model(O.bias_profile(O.bias_pixels_of_lines(lines)), apply_even_odd=apply_even_odd)
-    paired = L.pair_lines(lines).join(O.model_per_exposure(model), list(L.BLOCK_KEYS))
+    calibration = P.exposures_of(lines).drop("channel").join(O.model_per_exposure(model), "exposure_id")
+    paired = L.with_exposure(L.pair_lines(lines), calibration)
     terms = D.correction_terms(paired, bit_offset=False, saturation=False, overscan=True)
     return D.run_steps(D.start_images(terms), steps)
 

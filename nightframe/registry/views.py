@@ -59,10 +59,16 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_texts(spark: SparkSession) -> DataFrame:
     """Model files as they are read from disk: path and text."""
-    rows = [
-        (f"raw/misc/type=BINARY_OFFSET_MODEL/channel={c}/model.json", text) for c, text in MODEL_TEXT.items()
-    ]
-    return spark.createDataFrame(rows, "file_path string, value string")
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(f"raw/misc/type=BINARY_OFFSET_MODEL/channel={c}/model.json").alias("file_path"),
+                F.lit(text).alias("value"),
+            )
+            for c, text in MODEL_TEXT.items()
+        ]
+    )
+    return spark.range(1).select(F.inline(rows))
 
 
 LINES_SQL = """

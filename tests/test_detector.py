@@ -123,7 +123,8 @@ def test_corrected_lines_round_trip(spark):
 def test_pairing_uses_one_exchange(spark):
     """The grouping, the joins and the row-mean window all reuse the exchange of the lines."""
     lines = make_lines(spark, images(6, n=1))
-    paired = D.with_parameters(L.pair_lines(lines), P.exposure_parameters(lines, models(spark)))
+    parameters = P.exposure_parameters(lines, models(spark))
+    paired = D.with_parameters(L.with_exposure(L.pair_lines(lines), parameters))
     plan = D.correction_terms(paired, saturation=False)._jdf.queryExecution().executedPlan().toString()
     top = plan[: plan.index("REPARTITION_BY_COL")]
     assert top.count("Exchange") <= 1, plan
