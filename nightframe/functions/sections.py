@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,22 +20,28 @@ def parse_section(label: Column) -> Column:
     section fails the query.
     """
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(label, SECTION_PATTERN, i).cast("int")
-
-    x1, x2, y1, y2 = part(1), part(2), part(3), part(4)
-    parsed = F.struct(
-        (F.least(x1, x2) - 1).alias("x_min"),
-        F.greatest(x1, x2).alias("x_max"),
-        F.when(x2 < x1, -1).otherwise(1).alias("x_dir"),
-        (F.least(y1, y2) - 1).alias("y_min"),
-        F.greatest(y1, y2).alias("y_max"),
-        F.when(y2 < y1, -1).otherwise(1).alias("y_dir"),
-    )
-    bad = F.concat(F.lit("not an image section: "), label)
-    return F.when(label.rlike(SECTION_PATTERN), parsed).when(
-        label.isNotNull(), F.raise_error(bad).cast(_SECTION_TYPE)
-    )
+    def of_numbers(n: Column) -> Column:
+        x1, x2, y1, y2 = (F.get(n, F.lit(i)) for i in range(4))
+        return F.struct(
+            (F.least(x1, x2) - 1).alias("x_min"),
+            F.greatest(x1, x2).alias("x_max"),
+            F.when(x2 < x1, -1).otherwise(1).alias("x_dir"),
+            (F.least(y1, y2) - 1).alias("y_min"),
+            F.greatest(y1, y2).alias("y_max"),
+            F.when(y2 < y1, -1).otherwise(1).alias("y_dir"),
+        )
+
+    def of_label(text: Column) -> Column:
+        numbers = F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1)).cast("array<int>")
+        bad = F.raise_error(F.concat(F.lit("not an image section: "), text)).cast(_SECTION_TYPE)
+        return F.when(text.rlike(SECTION_PATTERN), _bind(numbers, of_numbers)).when(text.isNotNull(), bad)
+
+    return _bind(label, of_label)
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 _SECTION_TYPE = "struct<" + ",".join(f"{f}:int" for f in FIELDS) + ">"

@@ -139,59 +139,61 @@ def per_amplifier(paired: DataFrame, per_image: tuple[str, ...], shared: tuple[s
     return paired.select(*PAIR_KEYS, *shared, F.inline(F.array(*images)))
 
 
-def extract_section(
-    pixels: DataFrame, label: str | Column, whole_if_missing: bool = False, relative: bool = True
-) -> DataFrame:
-    """Keep the pixels of a section; coordinates become section-relative by default.
+def _cut(data: Column, section: Column) -> Column:
+    """The cells of a line inside a section, in the section's direction."""
+    part = F.slice(data, section["y_min"] + 1, section["y_max"] - section["y_min"])
+    return F.when(section["y_dir"] == 1, part).otherwise(F.reverse(part))
+
+
+def extract_section(lines: DataFrame, label: str | Column, whole_if_missing: bool = False) -> DataFrame:
+    """Keep the part of the images inside a section; coordinates become section-relative.
 
-    A missing label is an error unless ``whole_if_missing``, which keeps the whole image.
-    A descending range keeps the same cells with the coordinate running backwards.
+    Works on whole lines: other lines are filtered out and the rest sliced. A missing label is
+    an error unless ``whole_if_missing``. A descending range keeps the same cells backwards.
     """
     label = F.col(label) if isinstance(label, str) else label
     if not whole_if_missing:
         label = F.coalesce(label, F.raise_error(F.lit("section is not set in the header")).cast("string"))
-    names = pixels.columns
-    p = pixels.withColumn("_s", S.parse_section(label))
-    s, x, y = F.col("_s"), F.col("x"), F.col("y")
-    p = p.filter(s.isNull() | S.inside(s, x, y))
-    if relative:
-        p = p.withColumns(
-            {
-                "x": F.when(s.isNull(), x).otherwise(S.section_x(s, x)),
-                "y": F.when(s.isNull(), y).otherwise(S.section_y(s, y)),
-            }
-        )
-    return p.select(*names)
+    names = lines.columns
+    s, x = F.col("_s"), F.col("x")
+    found = lines.withColumn("_s", S.parse_section(label))
+    found = found.filter(s.isNull() | ((x >= s["x_min"]) & (x < s["x_max"])))
+    found = found.withColumns(
+        {
+            "x": F.when(s.isNull(), x).otherwise(S.section_x(s, x)),
+            "data": F.when(s.isNull(), F.col("data")).otherwise(_cut(F.col("data"), s)),
+        }
+    )
+    return found.select(*names)
 
 
-def assign_section(pixels: DataFrame, new: DataFrame, label: str = "datasec") -> DataFrame:
-    """Replace the pixels of a section by ``new`` (section-relative coordinates).
+def assign_section(lines: DataFrame, new: DataFrame, label: str = "datasec") -> DataFrame:
+    """Replace the section of every image by the lines of ``new`` (section-relative).
 
-    ``new`` must fill the section exactly: a cell of the section without a new value, or a
-    new value outside the section, fails the query.
+    ``new`` must have exactly the section's shape, else the query fails. Lines meet lines, so
+    the join moves one row per line and splices arrays.
     """
-    keys = ["exposure_id", "amp", "x", "y"]
-    names = pixels.columns
-    s = S.parse_section(F.col(label))
-    x, y = F.col("x"), F.col("y")
-    p = pixels.withColumn("_in", F.coalesce(S.inside(s, x, y), F.lit(True))).withColumns(
-        {
-            "_sx": F.when(F.col("_in"), F.coalesce(S.section_x(s, x), x)),
-            "_sy": F.when(F.col("_in"), F.coalesce(S.section_y(s, y), y)),
-        }
+    names = lines.columns
+    kind = lines.schema["data"].dataType
+    s, x = F.col("_s"), F.col("x")
+    whole = F.col("_s").isNull()
+    old = lines.withColumn("_s", S.parse_section(F.col(label)))
+    old = old.withColumn("_hit", whole | ((x >= s["x_min"]) & (x < s["x_max"])))
+    old = old.withColumn("_sx", F.when(F.col("_hit"), F.coalesce(S.section_x(s, x), x)))
+    given = new.select("exposure_id", "amp", F.col("x").alias("_sx"), F.col("data").cast(kind).alias("_new"))
+    joined = old.join(given, ["exposure_id", "amp", "_sx"], "full")
+    length = F.coalesce(s["y_max"] - s["y_min"], F.size("data"))
+    fits = x.isNotNull() & F.col("_new").isNotNull() & (F.size("_new") == length)
+    placed = F.when(whole | (s["y_dir"] == 1), F.col("_new")).otherwise(F.reverse("_new"))
+    spliced = F.concat(
+        F.slice("data", 1, F.coalesce(s["y_min"], F.lit(0))),
+        placed,
+        F.slice("data", F.coalesce(s["y_max"], F.size("data")) + 1, F.size("data")),
     )
-    n = new.select(
-        "exposure_id", "amp", F.col("x").alias("_sx"), F.col("y").alias("_sy"), F.col("value").alias("_new"),
-        F.lit(True).alias("_given"),
-    )
-    joined = p.join(n, ["exposure_id", "amp", "_sx", "_sy"], "full")
-    mismatch = F.raise_error(F.lit("new data does not match the section shape")).cast("double")
-    value = (
-        F.when(F.col("_in").isNull() | (F.col("_in") & F.col("_given").isNull()), mismatch)
-        .when(F.col("_in"), F.col("_new"))
-        .otherwise(F.col("value").cast("double"))
-    )
-    return joined.withColumn("value", value).select(*names)
+    mismatch = F.raise_error(F.lit("new data does not match the section shape")).cast(kind)
+    outside = x.isNotNull() & ~F.col("_hit")
+    data = F.when(outside, F.col("data")).when(fits, spliced).otherwise(mismatch)
+    return joined.withColumn("data", data).select(*names)
 
 
 def assemble(pixels: DataFrame, axis: str = "y") -> DataFrame:
@@ -258,21 +260,17 @@ def _place_line(amp: Column, section: Column, d: Column, b: Column, axis: str, b
     dx, dy = d["x_max"] - d["x_min"], d["y_max"] - d["y_min"]
     bx, by = b["x_max"] - b["x_min"], b["y_max"] - b["y_min"]
 
-    def cut(s: Column) -> Column:
-        part = F.slice("data", s["y_min"] + 1, s["y_max"] - s["y_min"])
-        return F.when(s["y_dir"] == 1, part).otherwise(F.reverse(part))
-
     x_new = S.section_x(section, x) + (dx if bias else F.lit(0))
     if axis == "y":
         # Both sections must cover the same lines, as stacking along y demands.
         same = (bx == dx) & (S.section_x(b, x) == S.section_x(d, x))
-        data = F.when(same, F.concat(cut(d), cut(b))).otherwise(
+        data = F.when(same, F.concat(_cut(F.col("data"), d), _cut(F.col("data"), b))).otherwise(
             F.raise_error(F.lit("data and bias sections differ in x")).cast("array<int>")
         )
         bias_label = S.section_label(bx, by, F.lit(0), dy)
         extent = dx
     else:
-        data = cut(section)
+        data = _cut(F.col("data"), section)
         bias_label = S.section_label(bx, by, dx, F.lit(0))
         extent = dx + bx
     line = F.struct(

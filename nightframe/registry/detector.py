@@ -73,15 +73,16 @@ def section_parse(spark, sf):
 
 
 def section_extract(spark, sf):
-    p = L.extract_section(_pixels(spark, sf), "datasec")
+    p = L.to_pixels(L.extract_section(V.lines(spark, sf), "datasec"))
     return p.select("exposure_id", "amp", "x", "y", "value")
 
 
 def section_assign(spark, sf):
     """Write the negated data section back into the image."""
-    p = _pixels(spark, sf)
-    new = L.extract_section(p, "datasec").withColumn("value", -F.col("value").cast("double"))
-    return L.assign_section(p, new).select("exposure_id", "amp", "x", "y", "value")
+    lines = V.lines(spark, sf)
+    new = L.extract_section(lines, "datasec").withColumn("data", F.transform("data", lambda v: -v))
+    p = L.to_pixels(L.assign_section(lines, new))
+    return p.select("exposure_id", "amp", "x", "y", F.col("value").cast("double").alias("value"))
 
 
 def image_transpose(spark, sf):

@@ -162,20 +162,34 @@ def test_saturation_spreads_one_cell(spark):
     assert sorted((r.amp, r.x, r.y) for r in got.collect()) == [(0, 4, 9), (0, 4, 10), (0, 4, 11)]
 
 
-def test_assign_section_needs_the_section_shape(spark):
-    pixels = L.to_pixels(make_lines(spark, images(10, n=1))).withColumn("datasec", F.lit("[2:5,1:6]"))
-    new = L.extract_section(pixels, "datasec").withColumn("value", F.lit(-1.0))
-    got = L.assign_section(pixels, new)
-    assert got.filter("value = -1").count() == 2 * 4 * 6
-    with pytest.raises(PySparkException, match="shape"):
-        L.assign_section(pixels, new.filter("x > 0")).select("value").collect()
+@pytest.mark.parametrize("label", ["[2:5,1:6]", "[5:2,6:1]"])
+def test_assign_section_needs_the_section_shape(spark, label):
+    lines = make_lines(spark, images(10, n=1)).withColumn("datasec", F.lit(label))
+    section = L.extract_section(lines, "datasec")
+    same = L.assign_section(lines, section)
+    assert same.exceptAll(lines).count() == 0 and same.count() == 2 * NX
+    new = section.withColumn("data", F.transform("data", lambda v: F.lit(-1)))
+    got = L.to_pixels(L.assign_section(lines, new))
+    assert got.filter("value = -1 AND x BETWEEN 1 AND 4 AND y < 6").count() == got.filter("value = -1").count() == 2 * 4 * 6
+    for wrong in (new.filter("x > 0"), new.withColumn("x", F.col("x") + 1), new.withColumn("data", F.slice("data", 1, 5))):
+        with pytest.raises(PySparkException, match="shape"):
+            L.assign_section(lines, wrong).select("data").collect()
 
 
 def test_extract_section_without_label(spark):
-    pixels = L.to_pixels(make_lines(spark, images(11, n=1))).withColumn("datasec", F.lit(None).cast("string"))
-    assert L.extract_section(pixels, "datasec", whole_if_missing=True).count() == 2 * NX * NY
+    lines = make_lines(spark, images(11, n=1)).withColumn("datasec", F.lit(None).cast("string"))
+    assert L.to_pixels(L.extract_section(lines, "datasec", whole_if_missing=True)).count() == 2 * NX * NY
     with pytest.raises(PySparkException, match="not set"):
-        L.extract_section(pixels, "datasec").collect()
+        L.extract_section(lines, "datasec").collect()
+
+
+def test_descending_section_runs_backwards(spark):
+    data = images(13, n=1)
+    lines = make_lines(spark, data).withColumn("datasec", F.lit("[5:2,6:1]"))
+    got = {(r.amp, r.x): r.data for r in L.extract_section(lines, "datasec").collect()}
+    assert len(got) == 8
+    for (amp, x), line in got.items():
+        assert line == data[0][amp][4 - x][:6][::-1].tolist()
 
 
 def test_bias_frames_are_not_marked(spark):
