@@ -171,9 +171,9 @@ def lookup(requested: DataFrame, catalog: DataFrame, strict: bool = True) -> Dat
 
     Otherwise ``matches`` tells: 0, 1 or more.
     """
-    w = Window.partitionBy("file_path")
-    counted = catalog.withColumn("matches", F.count("*").over(w))
-    found = requested.select("file_path").join(counted, "file_path", "left")
+    wanted = requested.select("file_path")
+    sizes = catalog.groupBy("file_path").agg(F.count("*").alias("matches"))
+    found = wanted.join(sizes, "file_path", "left").join(catalog, "file_path", "left")
     found = found.withColumn("matches", F.coalesce("matches", F.lit(0)))
     if strict:
         name = F.col("file_path")

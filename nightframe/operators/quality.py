@@ -80,3 +80,11 @@ def require_clean(violations: DataFrame) -> None:
     if found:
         v = found[0]
         raise ValueError(f"rule {v['rule']} violated by {v['key']}: {v['detail']}")
+
+
+def check_catalog(catalog: DataFrame) -> None:
+    require_clean(catalog_violations(catalog))
+
+
+def check_weather(rows: DataFrame) -> None:
+    require_clean(weather_violations(rows))

@@ -47,9 +47,7 @@ def refresh_catalog(
         found = files.read_selected(spark, data_root, C.new_files(listing, old))
     fresh = entries_of(found, added)
     catalog = C.conform(C.refreshed(old, fresh, listing))
-    path = sinks.write_catalog(catalog, catalog_root)
-    DQ.require_clean(DQ.catalog_violations(files.read_catalog(spark, path)))
-    return path
+    return sinks.write_catalog(catalog, catalog_root, DQ.check_catalog)
 
 
 def upsert_files(
@@ -60,6 +58,6 @@ def upsert_files(
     old = current_catalog(spark, catalog_root)
     fresh = C.conform(entries_of(found, added))
     if old is None:
-        return sinks.write_catalog(C.latest(fresh, order=("time_added",)), catalog_root)
+        return sinks.write_catalog(C.latest(fresh, order=("time_added",)), catalog_root, DQ.check_catalog)
     new = C.conform(C.upsert(old, fresh))
-    return sinks.write_catalog(new, catalog_root) if C.differs(old, new) else None
+    return sinks.write_catalog(new, catalog_root, DQ.check_catalog) if C.differs(old, new) else None

@@ -39,9 +39,7 @@ def refresh_weather(
         return None
     lines = W.of_years(files.read_text_lines(spark, landing), W.years_to_read(now, lookback_days))
     merged = W.merge(None if refresh else stored, W.parse(lines), files.LINE_ORDER)
-    path = sinks.write_weather(merged, weather_root, station)
-    DQ.require_clean(DQ.weather_violations(files.read_table(spark, path, schemas.WEATHER_ROWS)))
-    return path
+    return sinks.write_weather(merged, weather_root, station, DQ.check_weather)
 
 
 def report(spark: SparkSession, weather_root: str, now: datetime, days: int = W.REPORT_DAYS) -> DataFrame:

@@ -1,13 +1,22 @@
-"""Writers."""
+"""Writers.
+
+Every table is a folder of numbered snapshots. A snapshot is written in full, read back and
+checked, and only then published by a marker file; readers see published ones only. A lost job
+or a failed check leaves the snapshot before it in force.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PUBLISHED = "_PUBLISHED"
+
 
 def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete snapshots below ``root``."""
+    """Numbers of the published snapshots below ``root``."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     path = hadoop_path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -16,13 +25,13 @@ def _snapshots(spark: SparkSession, root: str) -> list[int]:
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith("snapshot-") and fs.exists(hadoop_path(status.getPath(), "_SUCCESS")):
+        if name.startswith("snapshot-") and fs.exists(hadoop_path(status.getPath(), PUBLISHED)):
             found.append(int(name.split("-")[1]))
     return sorted(found)
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
-    """Folder of the newest complete snapshot."""
+    """Folder of the newest published snapshot."""
     found = _snapshots(spark, root)
     return f"{root.rstrip('/')}/snapshot-{found[-1]:010d}" if found else None
 
@@ -33,7 +42,16 @@ def next_snapshot(spark: SparkSession, root: str) -> str:
     return f"{root.rstrip('/')}/snapshot-{(found[-1] + 1 if found else 0):010d}"
 
 
-def write_catalog(catalog: DataFrame, root: str) -> str:
+def publish(spark: SparkSession, path: str, check: Callable[[DataFrame], None] | None = None) -> str:
+    """Check a written snapshot and put it in force."""
+    if check is not None:
+        check(spark.read.parquet(path))
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, PUBLISHED)
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+    return path
+
+
+def write_catalog(catalog: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> str:
     """Write a catalogue sorted by path as a new snapshot; the one being read stays intact.
 
     Range partitions give a global order and let readers skip row groups by path.
@@ -41,16 +59,18 @@ def write_catalog(catalog: DataFrame, root: str) -> str:
     path = next_snapshot(catalog.sparkSession, root)
     ordered = catalog.repartitionByRange("file_path").sortWithinPartitions("file_path")
     ordered.write.mode("overwrite").parquet(path)
-    return path
+    return publish(catalog.sparkSession, path, check)
 
 
-def write_weather(rows: DataFrame, root: str, station: str) -> str:
+def write_weather(
+    rows: DataFrame, root: str, station: str, check: Callable[[DataFrame], None] | None = None
+) -> str:
     """Write a weather series under ``type=WEATHER/station=…`` as a new snapshot."""
     path = next_snapshot(rows.sparkSession, root)
     ordered = rows.repartitionByRange("time").sortWithinPartitions("time")
     tagged = ordered.withColumns({"type": F.lit("WEATHER"), "station": F.lit(station)})
     tagged.write.mode("overwrite").partitionBy("type", "station").parquet(path)
-    return path
+    return publish(rows.sparkSession, path, check)
 
 
 def write_events(rows: DataFrame, root: str) -> str:
@@ -59,7 +79,7 @@ def write_events(rows: DataFrame, root: str) -> str:
     ordered = rows.repartitionByRange("time").sortWithinPartitions("time")
     tagged = ordered.withColumn("type", F.lit("CCD_ON_TIMES"))
     tagged.write.mode("overwrite").option("compression", "gzip").partitionBy("type").parquet(path)
-    return path
+    return publish(rows.sparkSession, path)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:

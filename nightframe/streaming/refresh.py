@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from nightframe.functions import paths
 from nightframe.operators import catalog as C
+from nightframe.operators import quality as DQ
 from nightframe.operators import weather as W
 from nightframe.plans.build_catalog import current_catalog, entries_of
 from nightframe.plans.weather import STATION, current_weather
@@ -46,7 +47,7 @@ def stream_catalog(
     def merge(batch: DataFrame, _: int) -> None:
         fresh = C.conform(entries_of(batch, datetime.now(timezone.utc)))
         merged = C.merge(current_catalog(batch.sparkSession, catalog_root), fresh)
-        sinks.write_catalog(C.conform(merged.dropna(subset=["type"])), catalog_root)
+        sinks.write_catalog(C.conform(merged.dropna(subset=["type"])), catalog_root, DQ.check_catalog)
 
     return (
         found.writeStream.foreachBatch(merge)
@@ -76,7 +77,7 @@ def stream_weather(
         placed = batch.withColumn("seq", F.monotonically_increasing_id())
         stored = current_weather(batch.sparkSession, weather_root)
         merged = W.merge(stored, W.parse(placed), files.LINE_ORDER)
-        sinks.write_weather(merged, weather_root, station)
+        sinks.write_weather(merged, weather_root, station, DQ.check_weather)
 
     return (
         text.writeStream.foreachBatch(merge)

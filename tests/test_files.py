@@ -256,6 +256,8 @@ def test_weather_quality_stops_bad_rows(spark, tmp_path):
     (landing / "wx.2024.dat").write_text("2024 1 1 0 0 9 10 warm 20 600\n")
     with pytest.raises(ValueError, match="not_null"):
         weather.refresh_weather(spark, str(landing), str(tmp_path / "w"), now=datetime(2024, 1, 3, tzinfo=timezone.utc))
+    # What failed its check was written but never published.
+    assert weather.current_weather(spark, str(tmp_path / "w")) is None
 
 
 def test_streams_reach_the_batch_result(spark, tree, tmp_path):
