@@ -115,7 +115,7 @@ def all_matches(file_type: str, primaries: DataFrame, catalog: DataFrame) -> Dat
 
 
 def _attach(
-    resolved: DataFrame, primaries: DataFrame, name: str, file_type: str, catalog: DataFrame, strict: bool
+    resolved: DataFrame, name: str, file_type: str, catalog: DataFrame, strict: bool
 ) -> DataFrame:
     """Column ``name``: the given value if there is one, else the first match."""
     given = F.col(name) if name in resolved.columns else F.lit(None).cast("string")
@@ -129,8 +129,8 @@ def _attach(
 
 def resolve_continuum(primaries: DataFrame, catalog: DataFrame, strict: bool = False) -> DataFrame:
     """Inputs of continuum exposures: one arc and one weather file; given values win."""
-    resolved = _attach(primaries, primaries, "arc_file", schemas.ARC, catalog, strict)
-    return _attach(resolved, primaries, "weather_file", schemas.WEATHER, catalog, strict)
+    resolved = _attach(primaries, "arc_file", schemas.ARC, catalog, strict)
+    return _attach(resolved, "weather_file", schemas.WEATHER, catalog, strict)
 
 
 def resolve_science(primaries: DataFrame, catalog: DataFrame, strict: bool = False) -> DataFrame:

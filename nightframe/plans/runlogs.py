@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightframe import schemas
+from nightframe.functions import paths
 from nightframe.operators import match as M
 from nightframe.operators import runlog as R
 from nightframe.plans.build_catalog import upsert_files
@@ -17,8 +18,6 @@ def log_events(spark: SparkSession, data_root: str, catalog: DataFrame) -> DataF
 
     The log files are read below the folder of logs and kept if the catalogue has them.
     """
-    from nightframe.functions import paths
-
     known = M.members(schemas.RAW_LOGS, catalog).withColumnRenamed("match_path", "file_path")
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").text(data_root)
     lines = text.select("value", paths.relative_to(F.col("_metadata.file_path"), data_root).alias("file_path"))
@@ -33,7 +32,7 @@ def extract_run_logs(
     events = log_events(spark, data_root, catalog)
     path = sinks.write_events(events, f"{data_root.rstrip('/')}/{folder}")
     written = files.read_files(spark, path).withColumn(
-        "file_path", F.concat(files.paths.relative_to(F.lit(path), data_root), F.lit("/"), F.col("file_path"))
+        "file_path", F.concat(paths.relative_to(F.lit(path), data_root), F.lit("/"), F.col("file_path"))
     )
     parquet = written.filter(F.endswith("file_path", F.lit(".parquet")))
     upsert_files(spark, parquet, catalog_root)
