@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm import simhash
+from nightframe.llm import packing, quality_rules, simhash, toxicity
 from nightframe.llm.common import table
+from nightframe.llm.labelled import remainder
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +17,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = quality_rules.trusted_ids(table(spark, sf_dir, "labels"), rows=20_000)
+    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), with_ids=False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.passages(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("segments").alias("n_segments"),
+    )
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
+}
 ORACLE: dict[str, str] = {}
