@@ -310,3 +310,21 @@ def pack(pieces: DataFrame, capacity: int = 2048, groups: int = 128, rows_per_lo
         (F.col("__nf_first") + F.col("__nf_item") - F.col("__nf_lo")).alias("sequence_id"),
         F.col("__nf_offset").alias("offset"),
     )
+
+
+def assemble(docs: DataFrame, packed: DataFrame, **options) -> DataFrame:
+    """``sequence_id, ids``: the packed sequences themselves, at most the capacity's ids in each.
+
+    ``docs`` is tokenized again with the options of :func:`token_pieces`, so that ids are shuffled once, to their
+    sequence. Rows of equal id and content are interchangeable: they are matched in any order.
+    """
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    order = ", ".join(key)
+    # equal pieces are told apart by a running number on both sides; null ids need a value to be joined
+    number = f"row_number() OVER (PARTITION BY {order} ORDER BY 1) AS __nf_n"
+    pieces = token_pieces(docs, with_ids=True, **options).selectExpr("*", number)
+    places = packed.select(*key, "sequence_id", "offset").selectExpr("*", number)
+    same = [pieces[k].eqNullSafe(places[k]) for k in [*key, "__nf_n"]]
+    found = places.join(pieces, same).select("sequence_id", "offset", "ids")
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return found.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm import packing, quality_rules, simhash, toxicity
-from nightframe.llm.common import table
+from nightframe.llm import mixing, packing, quality_classifier, quality_rules, secrets, simhash, toxicity, urls, warc
+from nightframe.llm.common import new_path, stored, table
 from nightframe.llm.labelled import remainder
 
 
@@ -39,10 +39,197 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Target weights of the mix: names of a level not listed weigh 1.
+MIX_WEIGHTS = [
+    ("domain", "crawl", 2), ("domain", "web", 3), ("domain", "books", 5),
+    ("lang", "en", 6), ("lang", "de", 2),
+]
+
+
+def mix_domain() -> Column:
+    """The domain of a source: the large crawl, sources of one digit, sources of two."""
+    source = F.col("source")
+    return F.when(source == "src0", "crawl").when(F.length(source) <= 4, "web").otherwise("books")
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(MIX_WEIGHTS, "level string, name string, weight int")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, mix_weights(spark), mix_domain(), budget_percent=50, max_epochs=2)
+    return mixed.select("doc_id", "lang", "source", "mix_epoch", "mix_tokens", "mix_budget")
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = quality_classifier.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_classifier.judge(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("attention").alias("n_passages"),
+    )
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    found = warc.captures(warc.read_records(spark, folder))
+    note = F.decode(F.col("metadata")[0]["payload"], "UTF-8")
+    response = F.col("type") == "response"
+    named = found.select(
+        "record_id",
+        F.col("refers_to").alias("refers"),
+        F.regexp_extract(note, r"(?m)^id: (\d+)", 1).try_cast("long").alias("page_id"),
+        F.when(response, F.length("payload").cast("long"))
+        .otherwise(F.regexp_extract(note, r"(?m)^payload-bytes: (\d+)", 1).try_cast("long")).alias("payload_bytes"),
+        F.when(response, warc.base32_sha1(F.col("payload"))).otherwise(F.substring_index("digest", ":", -1)).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+    )
+    named = stored(named, "captures")
+    first = named.where("record_type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"))
+    return named.join(first, "refers", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.learn(docs))
+    return found.select(
+        "doc_id",
+        *[secrets.kind_count(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.as_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
+#: Rules of the contract, and the hosts of the blocklist.
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+BLOCKED_HOSTS = [
+    f"{name}.example.{top}"
+    for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+]
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = spark.createDataFrame([(h,) for h in BLOCKED_HOSTS], "entry string")
+    return urls.judge(table(spark, sf_dir, "pages"), urls.build_index(blocked), URL_RULES)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_warc": op8_warc,
+    "op9_secrets": op9_secrets,
+    "op10_urls": op10_urls,
 }
-ORACLE: dict[str, str] = {}
+
+
+def _share_out_sql(parent: str, node: str) -> str:
+    """``budget`` for rows of ``nodes(..., above, supply, weight)`` within ``parent``; see mixing.share_out."""
+    order = f"weight <= 0, supply / nullif(weight, 0), {node}"
+    return f"""
+      SELECT *, (CASE WHEN exhausted THEN supply WHEN weight <= 0 THEN 0
+                 ELSE weight * first_value(rest) OVER w // first_value(weights) OVER w END)::BIGINT AS budget
+      FROM (
+        SELECT *, weight > 0 AND supply * weights <= weight * rest AS exhausted
+        FROM (
+          SELECT *, above - coalesce(sum(supply) OVER b, 0) AS rest,
+                 sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER b, 0) AS weights
+          FROM nodes
+          WINDOW b AS (PARTITION BY {parent} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+      )
+      WINDOW w AS (PARTITION BY {parent} ORDER BY exhausted, {order}
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = "".join(f" WHEN '{name}' THEN {w}" for at, name, w in MIX_WEIGHTS if at == level)
+    return f"(CASE {level}{cases} ELSE 1 END)::BIGINT" if cases else "1::BIGINT"
+
+
+_OP6 = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(lang, '') AS l, coalesce(source, '') AS s,
+         CASE WHEN source = 'src0' THEN 'crawl' WHEN length(source) <= 4 THEN 'web' ELSE 'books' END AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n
+  FROM documents),
+leaves AS (SELECT domain, l AS lang, s AS source, sum(n)::BIGINT AS tokens FROM d GROUP BY ALL),
+domains AS (
+  WITH nodes AS (
+    SELECT domain, (2 * sum(tokens))::BIGINT AS supply, {_weight_sql("domain")} AS weight,
+           ((SELECT sum(tokens) FROM leaves) * 50 // 100)::BIGINT AS above
+    FROM leaves GROUP BY domain)
+  {_share_out_sql("above", "domain")}),
+langs AS (
+  WITH nodes AS (
+    SELECT domain, lang, (2 * sum(tokens))::BIGINT AS supply, {_weight_sql("lang")} AS weight, any_value(budget) AS above
+    FROM leaves JOIN (SELECT domain, budget FROM domains) USING (domain) GROUP BY domain, lang)
+  {_share_out_sql("domain", "lang")}),
+ends AS (
+  WITH nodes AS (
+    SELECT domain, lang, source, tokens, 2 * tokens AS supply, {_weight_sql("source")} AS weight, budget AS above
+    FROM leaves JOIN (SELECT domain, lang, budget FROM langs) USING (domain, lang))
+  {_share_out_sql("domain, lang", "source")}),
+plans AS (
+  SELECT domain, lang, source, budget, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole,
+         CASE WHEN tokens > 0 THEN budget % tokens ELSE budget END AS rest
+  FROM ends),
+placed AS (
+  SELECT d.doc_id, d.lang, d.source, d.n, p.budget, p.whole, p.rest,
+         sum(n) OVER (PARTITION BY d.domain, d.l, d.s ORDER BY md5('7:' || p.whole || ':' || coalesce(d.doc_id::VARCHAR, ''))) AS through
+  FROM d JOIN plans p ON d.domain = p.domain AND d.l = p.lang AND d.s = p.source)
+SELECT doc_id, lang, source, e::INTEGER AS mix_epoch, n AS mix_tokens, budget AS mix_budget
+FROM (SELECT *, unnest(range(0, whole + CASE WHEN rest > 0 AND through <= rest THEN 1 ELSE 0 END)) AS e FROM placed)
+"""
+
+_OP8 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, CASE WHEN page_id IS NULL THEN NULL ELSE max(page_id) OVER (PARTITION BY h, n) END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               (('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) % 32 + 1, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < first THEN first END AS refers_to
+FROM q
+"""
+
+
+def _url_sql() -> str:
+    rules = sorted(URL_RULES, key=lambda r: (-len(r[1]), r[1]))
+    rule = verdict = "CASE"
+    for kind, text in rules:
+        domain, _, start = text.partition("/")
+        fits = f"(host = '{domain}' OR ends_with(host, '.{domain}')) AND starts_with(path, '/{start}')"
+        rule += f" WHEN {fits} THEN '{text}'"
+        verdict += f" WHEN {fits} THEN '{kind}'"
+    blocked = " OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in BLOCKED_HOSTS)
+    return f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u)
+SELECT page_id, host, path, {rule} END AS rule,
+       {verdict} WHEN {blocked} THEN 'block' ELSE 'allow' END AS verdict
+FROM h
+"""
+
+
+ORACLE: dict[str, str] = {"op6_mixing": _OP6, "op8_warc": _OP8, "op10_urls": _url_sql()}
