@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm import mixing, packing, quality_classifier, quality_rules, secrets, simhash, toxicity, urls, warc
+from nightframe.llm import mixing, packing, quality_classifier, quality_rules, search, secrets, simhash, toxicity, urls, warc
 from nightframe.llm.common import new_path, stored, table
 from nightframe.llm.labelled import remainder
 
@@ -26,6 +26,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), with_ids=False))
 
 
+def op4_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = table(spark, sf_dir, "benchmark").where(F.col("item_id") % 20 == 0)
+    found = search.top_k(search.build_index(table(spark, sf_dir, "documents")), queries, k=10)
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 3) == 1
@@ -128,6 +134,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_bm25": op4_bm25,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
