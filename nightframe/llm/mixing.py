@@ -30,9 +30,8 @@ def share_out(nodes: DataFrame, parent: list[str], order: list[str]) -> DataFram
     it gets all of it; from the first that isn't, the rest is divided by weight, rounded down. All in whole numbers.
     A weight of 0 gets nothing.
     """
-    by_rank = Window.partitionBy(*parent).orderBy(
-        (F.col("weight") <= 0), F.col("supply") / F.when(F.col("weight") > 0, F.col("weight")), *order
-    )
+    ratio = F.col("supply") / F.when(F.col("weight") > 0, F.col("weight"))
+    by_rank = Window.partitionBy(*parent).orderBy(F.col("weight") <= 0, ratio, *order)
     before = by_rank.rowsBetween(Window.unboundedPreceding, -1)
     all_rows = Window.partitionBy(*parent)
     ranked = nodes.withColumns(
@@ -41,9 +40,9 @@ def share_out(nodes: DataFrame, parent: list[str], order: list[str]) -> DataFram
             "weights": F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(before), F.lit(0)),
         }
     ).withColumn("exhausted", (F.col("weight") > 0) & (F.col("supply") * F.col("weights") <= F.col("weight") * F.col("left")))
-    first = F.min(F.when(~F.col("exhausted"), F.struct(F.col("weight") <= 0, F.col("supply") / F.col("weight"), *order, "left", "weights")))
+    first = F.min(F.when(~F.col("exhausted"), F.struct(F.col("weight") <= 0, ratio, *order, "left", "weights")))
     open_part = first.over(all_rows)
-    rest = F.when(F.col("weight") > 0, F.expr("weight * open_left div open_weights")).otherwise(F.lit(0))
+    rest = F.when(F.col("weight") > 0, F.expr("weight * open_left div nullif(open_weights, 0)")).otherwise(F.lit(0))
     return (
         ranked.withColumns({"open_left": open_part["left"], "open_weights": open_part["weights"]})
         .withColumn("budget", F.when(F.col("exhausted"), F.col("supply")).otherwise(F.coalesce(rest, F.lit(0))).cast("long"))
