@@ -137,7 +137,7 @@ def fit(
     w["attend"], w["score"] = rng.normal(0, 0.25, hidden), rng.normal(0, 0.25, width)
     share = float(y.mean()) if len(y) else 0.5
     w["score_bias"] = np.asarray(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         bags = [(b - mean) / scale for b in bags]
         m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
         step = 0
