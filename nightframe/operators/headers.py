@@ -55,12 +55,12 @@ def get(
 ) -> DataFrame:
     """Add a typed card as column ``value`` to images; a missing required card is an error.
 
-    A default is honoured for numbers only; booleans and text ignore it.
+    A default stands for an absent card. Required booleans and text ignore it.
     """
     rows = header.filter(F.col("key") == key).select(*on, "key", *VALUE_COLUMNS)
     found = images.join(rows, list(on), "left")
     value = _GETTERS[kind]()
-    if default is not None and kind in ("int", "float"):
+    if default is not None and not (required and kind in ("bool", "str")):
         value = F.coalesce(value, F.lit(default))
     if required:
         sql_type = {"int": "bigint", "float": "double", "bool": "boolean", "str": "string"}[kind]

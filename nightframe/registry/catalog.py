@@ -68,6 +68,13 @@ def catalog_refresh(spark, sf):
     )
 
 
+def catalog_upsert(spark, sf):
+    """Single entries added to or replacing those of the catalogue."""
+    old, new = _halves(spark, sf)
+    changed = C.latest(new, order=("time_added",)).filter(F.col("size_mb") % 5 == 0)
+    return C.upsert(C.latest(old, order=("time_added",)), changed)
+
+
 def catalog_prune_deleted(spark, sf):
     return C.present(V.catalog_entries(spark, sf), V.listing(spark, sf)).select(*COLUMNS, "batch_no")
 
@@ -140,10 +147,10 @@ def match_model(spark, sf):
 
 
 def match_first(spark, sf):
-    """First match of the global rules for every primary."""
-    p, c = _primaries(spark, sf), _catalog(spark, sf)
-    logs = M.first_match(schemas.RAW_LOGS, p.select("file_path"), c)
-    return logs.select("file_path", "n_matches", "match_path")
+    """First match of every global rule for every primary."""
+    p, c = _primaries(spark, sf).select("file_path"), _catalog(spark, sf)
+    parts = [M.first_match(t, p, c).withColumn("type", F.lit(t)) for t in (schemas.RAW_LOGS, schemas.WEATHER)]
+    return parts[0].unionByName(parts[1]).select("file_path", "type", "n_matches", "match_path")
 
 
 def match_members(spark, sf):
@@ -159,6 +166,16 @@ def match_global(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def match_all(spark, sf):
+    """Every arc of every primary, as pairs."""
+    return M.all_matches(schemas.ARC, _primaries(spark, sf), _catalog(spark, sf))
+
+
+def resolve_flats(spark, sf):
+    """Every flat of every primary, as pairs; given lists win."""
+    return M.continuum_files(_given(spark, sf), _catalog(spark, sf))
+
+
 def _given(spark, sf):
     """Primaries of which some come with an explicit arc or flat list."""
     p = _primaries(spark, sf)
@@ -214,7 +231,7 @@ QUERIES = {
         path_partitions, raster_reclass, catalog_latest, catalog_merge, catalog_refresh, catalog_prune_deleted,
         catalog_anti_new, catalog_lookup, catalog_counts, catalog_sorted, catalog_fingerprint, dq_violations,
         dq_two_images, match_arc, match_flats, match_model, match_first, match_members, match_global,
-        resolve_science, resolve_continuum, reduce_science, reduce_continuum,
+        catalog_upsert, match_all, resolve_flats, resolve_science, resolve_continuum, reduce_science, reduce_continuum,
     )
 }
 
@@ -339,8 +356,28 @@ FROM events GROUP BY user_id HAVING count(DISTINCT event_id % 4) <> 2""",
     "match_model": _match_sql("BINARY_OFFSET_MODEL", "channel"),
     "match_first": _q(
         V.CATALOG_SQL,
-        select="""SELECT file_path, (SELECT count(*) FROM catalog WHERE type = 'RAW_LOGS') AS n_matches,
-  (SELECT min(file_path) FROM catalog WHERE type = 'RAW_LOGS') AS match_path FROM catalog WHERE type = 'OBJECT'""",
+        select=" UNION ALL ".join(
+            f"""SELECT file_path, '{t}' AS type, (SELECT count(*) FROM catalog WHERE type = '{t}') AS n_matches,
+  (SELECT min(file_path) FROM catalog WHERE type = '{t}') AS match_path FROM catalog WHERE type = 'OBJECT'"""
+            for t in ("RAW_LOGS", "WEATHER")
+        ),
+    ),
+    "match_all": _q(
+        V.CATALOG_SQL,
+        select="""SELECT p.file_path, a.file_path AS match_path FROM catalog p JOIN catalog a USING (run_id, object, channel)
+WHERE p.type = 'OBJECT' AND a.type = 'ARC'""",
+    ),
+    "resolve_flats": _q(
+        V.CATALOG_SQL,
+        select="""SELECT p.file_path, a.file_path AS match_path FROM catalog p JOIN catalog a USING (run_id, object, channel)
+WHERE p.type = 'OBJECT' AND a.type = 'FLAT' AND p.f % 24 <> 0
+UNION ALL SELECT file_path, unnest(['given/a.fits', 'given/b.fits']) FROM catalog WHERE type = 'OBJECT' AND f % 24 = 0""",
+    ),
+    "catalog_upsert": _q(
+        V.CATALOG_SQL, _HALVES,
+        f"""upserted AS (SELECT * FROM (SELECT 0 AS k, * FROM old UNION ALL SELECT 1 AS k, * FROM new WHERE size_mb % 5 = 0)
+           QUALIFY row_number() OVER (PARTITION BY file_path ORDER BY time_added DESC, k DESC) = 1)""",
+        select=f"SELECT {_COLS} FROM upserted",
     ),
     "match_members": _q(
         V.CATALOG_SQL,

@@ -33,9 +33,15 @@ def fits_catalog(spark, sf):
 
 
 def fits_data_headers(spark, sf):
-    """Numeric cards of the image HDUs."""
+    """All cards of the image HDUs."""
     h = fits.headers_of_data(fits.header_rows(V.image_files(spark, sf)))
-    return h.filter(F.col("key").isin("SATURATE", "BZERO", "NAXIS1")).select("file_path", "hdu", "image_no", "key", "value_double")
+    return h.select("file_path", "hdu", "image_no", "key", "vtype", H.shown_value().alias("value"))
+
+
+def fits_one_header(spark, sf):
+    """All cards of the second image's HDU; a file without it is an error."""
+    h = fits.headers_of(fits.header_rows(V.image_files(spark, sf)), 2)
+    return h.select("file_path", "hdu", "image_no", "key", "vtype", H.shown_value().alias("value"))
 
 
 def fits_lines(spark, sf):
@@ -68,12 +74,17 @@ def preprocess_files(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (fits_headers, fits_catalog, fits_data_headers, fits_lines, fits_one_hdu, fits_images, preprocess_files)
+    for f in (fits_headers, fits_catalog, fits_data_headers, fits_one_header, fits_lines, fits_one_hdu, fits_images, preprocess_files)
 }
 
 _FILES = """
 files AS (SELECT exposure_id AS n, any_value(channel) AS channel,
   'raw/runs/run_id=' || exposure_id // 10 || '/exposure_' || exposure_id || '.fits' AS file_path FROM lines GROUP BY ALL)"""
+_IMAGE_CARDS = """(VALUES
+  ('XTENSION', 'str', 'IMAGE'), ('BITPIX', 'int', '16'), ('NAXIS', 'int', '2'), ('NAXIS1', 'int', '25'), ('NAXIS2', 'int', '64'),
+  ('PCOUNT', 'int', '0'), ('GCOUNT', 'int', '1'), ('BSCALE', 'int', '1'), ('BZERO', 'int', '32768'),
+  ('DATASEC', 'str', '[1:20,1:64]'), ('BIASSEC', 'str', '[21:25,1:60]'),
+  ('SATURATE', 'float', '42000.0')) AS c(key, vtype, value)"""
 _PATH = "'raw/runs/run_id=' || exposure_id // 10 || '/exposure_' || exposure_id || '.fits'"
 
 ORACLE = {
@@ -93,11 +104,7 @@ SELECT file_path, CAST(0 AS INTEGER) AS hdu, key, vtype, value, false AS has_dat
     {'key': 'OBJECT', 'vtype': 'str', 'value': 'O''Neil'}, {'key': 'CHANNEL', 'vtype': 'str', 'value': channel}], recursive := true)
   FROM files)
 UNION ALL
-SELECT file_path, CAST(hdu AS INTEGER), key, vtype, value, true FROM files, (VALUES (1), (2)) AS h(hdu), (VALUES
-  ('XTENSION', 'str', 'IMAGE'), ('BITPIX', 'int', '16'), ('NAXIS', 'int', '2'), ('NAXIS1', 'int', '25'), ('NAXIS2', 'int', '64'),
-  ('PCOUNT', 'int', '0'), ('GCOUNT', 'int', '1'), ('BSCALE', 'int', '1'), ('BZERO', 'int', '32768'),
-  ('DATASEC', 'str', '[1:20,1:64]'), ('BIASSEC', 'str', '[21:25,1:60]'),
-  ('SATURATE', 'float', '42000.0')) AS c(key, vtype, value)""",
+SELECT file_path, CAST(hdu AS INTEGER), key, vtype, value, true FROM files, (VALUES (1), (2)) AS h(hdu), """ + _IMAGE_CARDS,
     ),
     "fits_catalog": _q(
         V.LINES_SQL, _FILES,
@@ -114,8 +121,12 @@ SELECT file_path, 'exposure_' || n || '.fits' AS file_name, CASE WHEN n % 3 = 0
     ),
     "fits_data_headers": _q(
         V.LINES_SQL, _FILES,
-        select="""SELECT file_path, CAST(k + 1 AS INTEGER) AS hdu, CAST(k AS INTEGER) AS image_no, key, CAST(value AS DOUBLE) AS value_double
-FROM files, (VALUES (0), (1)) AS h(k), (VALUES ('SATURATE', 42000), ('BZERO', 32768), ('NAXIS1', 25)) AS c(key, value)""",
+        select="""SELECT file_path, CAST(k + 1 AS INTEGER) AS hdu, CAST(k AS INTEGER) AS image_no, key, vtype, value
+FROM files, (VALUES (0), (1)) AS h(k), """ + _IMAGE_CARDS,
+    ),
+    "fits_one_header": _q(
+        V.LINES_SQL, _FILES,
+        select="SELECT file_path, CAST(2 AS INTEGER) AS hdu, CAST(1 AS INTEGER) AS image_no, key, vtype, value FROM files, " + _IMAGE_CARDS,
     ),
     "fits_lines": _q(
         V.LINES_SQL,

@@ -103,25 +103,52 @@ def header_merge_last(spark, sf):
     return H.merge_last(V.headers(spark, sf))
 
 
-def _maps(spark, sf):
+def header_merge_maps(spark, sf):
+    """The header maps of all images of an exposure, merged in their order."""
     m = H.as_maps(V.headers(spark, sf))
+    images = F.array_sort(F.collect_list(F.struct("image_no", F.map_entries("header").alias("cards"))))
     empty = F.create_map().cast("map<string,string>")
-    of = [
-        F.coalesce(F.first(F.when(F.col("image_no") == i, F.col("header")), ignorenulls=True), empty).alias(f"h{i}")
-        for i in (0, 1)
-    ]
-    return m.groupBy("exposure_id").agg(*of)
-
-
-def header_merge_maps(spark, sf):
-    m = _maps(spark, sf).select("exposure_id", H.merge_maps(F.col("h0"), F.col("h1")).alias("h"))
+    merged = F.aggregate("images", empty, lambda a, i: H.merge_maps(a, F.map_from_entries(i["cards"])))
+    m = m.groupBy("exposure_id").agg(images.alias("images")).select("exposure_id", merged.alias("h"))
     return m.select("exposure_id", F.explode("h").alias("key", "value"))
 
 
 def header_defaults(spark, sf):
+    """Defaults for the absent cards of every image."""
     defaults = F.create_map(*map(F.lit, ("VIEW", "none", "GAIN", "1")))
-    m = _maps(spark, sf).select("exposure_id", H.fill_defaults(F.col("h0"), defaults).alias("h"))
-    return m.select("exposure_id", F.explode("h").alias("key", "value"))
+    m = H.as_maps(V.headers(spark, sf)).withColumn("h", H.fill_defaults(F.col("header"), defaults))
+    return m.select("exposure_id", "image_no", F.explode("h").alias("key", "value"))
+
+
+def _typed_get(spark, sf, kind, key, default):
+    """A card of every image, without and with a default; other types of it count as absent."""
+    h = V.headers(spark, sf)
+    images = h.select("exposure_id", "image_no").distinct()
+    h = h.filter(F.col("vtype") == kind)
+    plain = H.get(images, h, key, kind).withColumnRenamed("value", "plain")
+    return H.get(plain, h, key, kind, default=default)
+
+
+def header_get_bool(spark, sf):
+    return _typed_get(spark, sf, "bool", "CLICK", True)
+
+
+def header_get_str(spark, sf):
+    return _typed_get(spark, sf, "str", "SIGNUP", "unknown")
+
+
+def split_header(spark, sf):
+    """One-image headers made from the cards: each exposure's cards become those of two amplifiers."""
+    h = V.headers(spark, sf).filter("image_no = 0").withColumn("file_path", F.concat(F.lit("f"), F.col("exposure_id")))
+    names = {"CLICK": "CCD0GAIN", "ERROR": "CCD1GAIN", "PURCHASE": "CCDSEC0", "SIGNUP": "DETTEMP"}
+    renamed = h.replace(names, subset=["key"]).select("file_path", "key", *H.VALUE_COLUMNS)
+    sections = {"DATASEC0": "[1:20,1:64]", "DATASEC1": "[45:26,1:64]", "BIASSEC0": "[21:25,1:60]", "BIASSEC1": "[46:50,1:60]"}
+    cards = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value_str")) for k, v in sections.items()]))
+    fixed = renamed.select("file_path").distinct().select("file_path", cards.alias("c")).select(
+        "file_path", "c.key", F.lit("str").alias("vtype"), "c.value_str",
+        F.lit(None).cast("double").alias("value_double"), F.lit(None).cast("boolean").alias("value_bool"),
+    )
+    return H.split_header(renamed.unionByName(fixed)).select("file_path", "amp", "key", *H.VALUE_COLUMNS)
 
 
 QUERIES = {
@@ -129,7 +156,7 @@ QUERIES = {
     for f in (
         weather_parse, weather_latest, weather_merge, weather_fresh, weather_report, weather_years, weather_quality,
         runlog_events, header_typed, header_get, header_pivot, header_merge_first, header_merge_last,
-        header_merge_maps, header_defaults,
+        header_merge_maps, header_defaults, header_get_bool, header_get_str, split_header,
     )
 }
 
@@ -208,10 +235,43 @@ QUALIFY row_number() OVER (PARTITION BY exposure_id, key ORDER BY image_no DESC)
     "header_defaults": _q(
         V.HEADERS_SQL, _TEXT,
         select="""
-SELECT exposure_id, key, value FROM shown WHERE image_no = 0
+SELECT exposure_id, image_no, key, value FROM shown
 UNION ALL
-SELECT e.exposure_id, d.key, d.value FROM (SELECT DISTINCT exposure_id FROM shown) e,
+SELECT e.exposure_id, e.image_no, d.key, d.value FROM (SELECT DISTINCT exposure_id, image_no FROM shown) e,
   (VALUES ('VIEW', 'none'), ('GAIN', '1')) AS d(key, value)
-WHERE NOT EXISTS (FROM shown s WHERE s.image_no = 0 AND s.exposure_id = e.exposure_id AND s.key = d.key)""",
+WHERE NOT EXISTS (FROM shown s WHERE s.image_no = e.image_no AND s.exposure_id = e.exposure_id AND s.key = d.key)""",
+    ),
+    **{
+        name: _q(
+            V.HEADERS_SQL,
+            select=f"""SELECT i.exposure_id, i.image_no, h.{column} AS plain, coalesce(h.{column}, {default}) AS value
+FROM (SELECT DISTINCT exposure_id, image_no FROM headers) i
+LEFT JOIN (SELECT * FROM headers WHERE key = '{key}' AND vtype = '{kind}') h USING (exposure_id, image_no)""",
+        )
+        for name, key, kind, column, default in (
+            ("header_get_bool", "CLICK", "bool", "value_bool", "true"),
+            ("header_get_str", "SIGNUP", "str", "value_str", "'unknown'"),
+        )
+    },
+    "split_header": _q(
+        V.HEADERS_SQL,
+        """cards AS (
+  SELECT 'f' || exposure_id AS file_path, CASE key WHEN 'CLICK' THEN 'CCD0GAIN' WHEN 'ERROR' THEN 'CCD1GAIN'
+    WHEN 'PURCHASE' THEN 'CCDSEC0' WHEN 'SIGNUP' THEN 'DETTEMP' ELSE key END AS key, vtype, value_str, value_double, value_bool
+  FROM headers WHERE image_no = 0),
+sections AS (SELECT file_path, k AS key, v AS value_str FROM (SELECT DISTINCT file_path FROM cards),
+  (VALUES ('DATASEC0', '[1:20,1:64]'), ('DATASEC1', '[45:26,1:64]'), ('BIASSEC0', '[21:25,1:60]'), ('BIASSEC1', '[46:50,1:60]')) AS s(k, v)),
+amps AS (SELECT unnest([0, 1])::INTEGER AS amp)""",
+        select="""
+SELECT file_path, amp, key, vtype, value_str, value_double, value_bool FROM cards, amps
+UNION ALL SELECT file_path, amp, key, 'str', value_str, NULL, NULL FROM sections, amps
+UNION ALL SELECT file_path, CAST(key[4] AS INTEGER), 'ORIGINAL_GAIN', vtype, value_str, value_double, value_bool
+  FROM cards WHERE key IN ('CCD0GAIN', 'CCD1GAIN')
+UNION ALL SELECT file_path, 0, 'CCDSEC', vtype, value_str, value_double, value_bool FROM cards WHERE key = 'CCDSEC0'
+UNION ALL SELECT DISTINCT file_path, amp, 'CCDNAMP', 'int', NULL, 1.0, NULL FROM cards, amps
+UNION ALL SELECT DISTINCT file_path, amp, 'DATASEC', 'str', '[1:20,1:64]', NULL, NULL FROM cards, amps
+UNION ALL SELECT DISTINCT file_path, amp, 'BIASSEC', 'str', '[1:5,65:124]', NULL, NULL FROM cards, amps
+UNION ALL SELECT file_path, amp, 'CCDTEMP', 'float', NULL, value_double, NULL FROM cards, amps
+  WHERE key = 'DETTEMP' AND value_double IS NOT NULL""",
     ),
 }

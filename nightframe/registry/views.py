@@ -5,7 +5,7 @@ The SQL text of a view is a common table expression body; queries prepend it wit
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nightframe.functions import sections as S
@@ -258,15 +258,13 @@ catalog AS (
 
 
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One card per ``(exposure_id, image_no, key)``: the one of the lowest event."""
+    """One card per event; an exposure's cards of one key are numbered, and the number is their image."""
     e = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("exposure_id"),
-        (F.col("event_id") % 2).cast("int").alias("image_no"),
-        F.upper("event_type").alias("key"),
-        F.struct("event_id", "value").alias("e"),
+        F.col("user_id").alias("exposure_id"), F.upper("event_type").alias("key"), "event_id", "value"
     )
-    first = e.groupBy("exposure_id", "image_no", "key").agg(F.min_by("e", F.col("e.event_id")).alias("e"))
-    n, v = F.col("e.event_id"), F.col("e.value")
+    order = Window.partitionBy("exposure_id", "key").orderBy("event_id")
+    first = e.withColumn("image_no", (F.row_number().over(order) - 1).cast("int"))
+    n, v = F.col("event_id"), F.col("value")
     kind = F.get(F.array(*map(F.lit, ("int", "float", "bool", "str"))), (n % 4).cast("int"))
     return first.select("exposure_id", "image_no", "key", kind.alias("vtype"), n.alias("n"), v.alias("v")).select(
         "exposure_id", "image_no", "key", "vtype",
@@ -283,8 +281,9 @@ headers AS (
          CASE vtype WHEN 'int' THEN CAST(n AS DOUBLE) WHEN 'float' THEN v END AS value_double,
          CASE WHEN vtype = 'bool' THEN n % 3 = 0 END AS value_bool
   FROM (SELECT exposure_id, image_no, key, n, v, (['int', 'float', 'bool', 'str'])[n % 4 + 1] AS vtype
-    FROM (SELECT user_id AS exposure_id, CAST(event_id % 2 AS INTEGER) AS image_no, upper(event_type) AS key,
-                 min(event_id) AS n, arg_min(value, event_id) AS v FROM events GROUP BY ALL))
+    FROM (SELECT user_id AS exposure_id, upper(event_type) AS key, event_id AS n, value AS v,
+                 CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS INTEGER) AS image_no
+          FROM events))
 )"""
 
 
