@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,10 +50,21 @@ def correction_amplitude(
     """Correction of one reading from the readings that preceded it on both amplifiers."""
     if len(params) != PARAMETERS_PER_IMAGE:
         raise ValueError(f"need {PARAMETERS_PER_IMAGE} parameters, got {len(params)}")
-    both = two_back.bitwiseAND(three_back)
-    only_two = two_back.bitwiseAND(F.bitwise_not(three_back))
-    own = set_bits(three_back).cast("double")
-    other = set_bits(other_three_back).cast("double")
+    return amplitude_of_parts(transition_parts(two_back, three_back, other_three_back), params)
+
+
+def transition_parts(two_back: Column, three_back: Column, other_three_back: Column) -> dict[str, Column]:
+    """What the amplitude depends on: bits that stayed set, bits newly set, and numbers of set bits."""
+    return {
+        "both": two_back.bitwiseAND(three_back),
+        "only_two": two_back.bitwiseAND(F.bitwise_not(three_back)),
+        "own": set_bits(three_back).cast("double"),
+        "other": set_bits(other_three_back).cast("double"),
+    }
+
+
+def amplitude_of_parts(parts: Mapping[str, Column] | Column, params: Sequence[Column]) -> Column:
+    both, only_two, own, other = (parts[name] for name in ("both", "only_two", "own", "other"))
     features = (
         set_bits(both),
         set_bits(only_two),

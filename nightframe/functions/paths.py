@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,8 +44,6 @@ def segments(path: Column) -> Column:
 def relative_to(path: Column, root: str) -> Column:
     """Path below ``root``, whatever scheme prefix the file system adds to either."""
     bare = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    import re
-
     clean = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
     return F.when(
         F.startswith(bare, F.lit(clean + "/")), F.substr(bare, F.lit(len(clean) + 2))

@@ -12,6 +12,10 @@ from nightframe import schemas
 from nightframe.functions import paths, times
 
 
+#: Column of a batch's entries that names what could not be read; it is written beside the catalogue's columns.
+UNREADABLE = "unreadable"
+
+
 def visible_files(files: DataFrame) -> DataFrame:
     """Files of a listing that count: at least one folder deep and not a note."""
     path = F.col("file_path")
@@ -32,11 +36,12 @@ def _header_type(name: str):
     return next(f.dataType for f in schemas.CATALOG if f.name == name)
 
 
-def header_columns(header: DataFrame) -> DataFrame:
-    """Catalogue columns found in primary headers, one row per file.
+def header_facts(header: DataFrame) -> DataFrame:
+    """What the headers of a file say, one row per file: catalogue columns, numbers of HDUs, unreadable cards.
 
-    Card names are matched without regard to case and strings are stripped. The aggregation
-    is partial before the exchange, whatever number of rows a file has.
+    Card names are matched without regard to case and strings are stripped. One aggregation gives all of it, so
+    the files are decoded once; it is partial before the exchange, whatever number of rows a file has.
+    ``unreadable`` lists the wanted cards of the primary header whose value isn't of the column's type.
     """
     wanted = {
         c: schemas.HEADER_CARDS.get(c, c).upper()
@@ -44,34 +49,35 @@ def header_columns(header: DataFrame) -> DataFrame:
         if c not in schemas.NOT_FROM_HEADER
     }
     key = F.upper("key")
+    primary = (F.col("hdu") == 0) & key.isin(*wanted.values())
     text = F.regexp_replace("value_str", r"^\s+|\s+$", "")
     number, vtype = F.col("value_double"), F.col("vtype")
     shown = F.when(vtype == "str", text).when(vtype == "int", number.cast("long").cast("string"))
     shown = shown.when(vtype == "float", number.cast("string")).when(
         vtype == "bool", F.col("value_bool").cast("string")
     )
-    rows = header.filter((F.col("hdu") == 0) & key.isin(*wanted.values())).select(
+    rows = header.select(
         "file_path",
-        key.alias("_key"),
+        "hdu",
+        "has_data",
+        F.when(primary, key).alias("_key"),
         shown.alias("_text"),
         F.coalesce(number, text.try_cast("double")).alias("_number"),
         times.header_time(vtype, number, text).alias("_time"),
     )
-    columns = []
+    columns, unreadable = [], []
     for name, card in wanted.items():
-        source = {StringType: "_text", DoubleType: "_number", TimestampType: "_time"}[
-            type(_header_type(name))
-        ]
-        columns.append(F.max(F.when(F.col("_key") == card, F.col(source))).alias(name))
-    return rows.groupBy("file_path").agg(*columns)
-
-
-def extension_counts(header: DataFrame) -> DataFrame:
-    """Number of HDUs and of HDUs with data per file."""
-    hdus = header.groupBy("file_path", "hdu").agg(F.bool_or("has_data").alias("has_data"))
-    return hdus.groupBy("file_path").agg(
-        F.count("*").cast("int").alias("num_extensions"),
-        F.count_if("has_data").cast("int").alias("num_data_extensions"),
+        source = {StringType: "_text", DoubleType: "_number", TimestampType: "_time"}[type(_header_type(name))]
+        own = F.col("_key") == card
+        columns.append(F.max(F.when(own, F.col(source))).alias(name))
+        if source != "_text":
+            lost = own & F.col(source).isNull() & F.col("_text").isNotNull()
+            unreadable.append(F.max(F.when(lost, F.concat(F.lit(f"{card}="), F.col("_text")))))
+    return rows.groupBy("file_path").agg(
+        *columns,
+        (F.max("hdu") + 1).cast("int").alias("num_extensions"),
+        F.size(F.collect_set(F.when(F.col("has_data"), F.col("hdu")))).cast("int").alias("num_data_extensions"),
+        F.array_compact(F.array(*unreadable)).alias("unreadable"),
     )
 
 
@@ -93,23 +99,31 @@ def reclassify_rasters(entries: DataFrame) -> DataFrame:
 
 
 def entries(facts: DataFrame, header: DataFrame | None = None) -> DataFrame:
-    """Catalogue rows of a batch: path values win over file facts, which win over headers."""
+    """Catalogue rows of a batch: path values win over file facts, which win over headers.
+
+    Column ``unreadable`` lists header cards and path values that aren't of their column's type; it is
+    null if there are none.
+    """
     e = facts
     if header is not None:
-        e = e.join(header_columns(header), "file_path", "left").join(
-            extension_counts(header), "file_path", "left"
-        )
+        e = e.join(header_facts(header), "file_path", "left")
     e = e.withColumn("_path", paths.partition_values(F.col("file_path")))
-    columns = {}
+    columns, lost = {}, []
     for field in schemas.CATALOG:
         from_path = F.col("_path")[field.name]
         if not isinstance(field.dataType, StringType):
-            from_path = from_path.try_cast(field.dataType)
+            told = from_path
+            from_path = told.try_cast(field.dataType)
+            bad = told.isNotNull() & from_path.isNull()
+            lost.append(F.when(bad, F.concat(F.lit(f"{field.name}="), told)))
         known = F.col(field.name) if field.name in e.columns else F.lit(None)
         columns[field.name] = F.coalesce(from_path, known.cast(field.dataType))
-    e = e.withColumns(columns)
-    e = reclassify_rasters(e)
-    return e.select(*schemas.CATALOG.names)
+    if header is not None:
+        lost.append(F.array_join("unreadable", ", "))
+    lost = F.array_compact(F.array(*[F.nullif(c, F.lit("")) for c in lost]))
+    columns[UNREADABLE] = F.nullif(F.array_join(lost, ", "), F.lit(""))
+    e = reclassify_rasters(e.withColumns(columns))
+    return e.select(*schemas.CATALOG.names, UNREADABLE)
 
 
 # ------------------------------------------------------------------ merging
@@ -157,13 +171,13 @@ def refreshed(
 
 
 def conform(rows: DataFrame) -> DataFrame:
-    """Exactly the catalogue's columns and types, missing ones null."""
+    """Exactly the catalogue's columns and types, missing ones null; and ``unreadable`` if the rows have it."""
     columns = []
     for f in schemas.CATALOG:
         c = F.col(f.name) if f.name in rows.columns else F.lit(None)
         c = c.cast(f.dataType)
         columns.append((times.milliseconds(c) if isinstance(f.dataType, TimestampType) else c).alias(f.name))
-    return rows.select(*columns)
+    return rows.select(*columns, *[c for c in (UNREADABLE,) if c in rows.columns])
 
 
 def lookup(requested: DataFrame, catalog: DataFrame, strict: bool = True) -> DataFrame:
@@ -198,7 +212,7 @@ def counts(catalog: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ change detection
 
 
-def fingerprint(rows: DataFrame, ignore: tuple[str, ...] = ("time_added",)) -> DataFrame:
+def fingerprint(rows: DataFrame, ignore: tuple[str, ...] = ("time_added", UNREADABLE)) -> DataFrame:
     """One row that changes when the content changes, whatever the row order.
 
     Combines row digests by sum and by xor, so it aggregates partially on every executor.
@@ -219,4 +233,4 @@ def upsert(catalog: DataFrame, changed: DataFrame) -> DataFrame:
 
 def differs(old: DataFrame, new: DataFrame) -> bool:
     """Whether two catalogues differ in content; moves two fingerprint rows to the driver."""
-    return old.transform(fingerprint).first() != new.select(*old.columns).transform(fingerprint).first()
+    return old.transform(fingerprint).first() != new.select(*[c for c in old.columns if c in new.columns]).transform(fingerprint).first()

@@ -2,8 +2,8 @@
 
 ``correction_terms`` explodes the lines of paired images once and computes, per pixel, every term the
 correction steps need. All neighbour access is by shifted copies of the line made before the
-explode, so the only window left is the row mean of the bit-offset correction; its partitions
-are single detector lines and its exchange is the one that paired the lines.
+explode, and the bit-offset amplitudes and their row mean are computed on the line too, so no pixel row
+is ever sorted or shuffled.
 
 A step then only combines a pixel's value, variance and terms; the key columns lift it to
 every image at once. ``run_steps`` chains steps, optionally keeping every result.
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightframe.functions import bits, series
@@ -114,10 +114,6 @@ def correction_terms(
     cells: dict[str, tuple[Column, Column | None]] = {"raw": (data, F.lit(0))}
     scalars: dict[str, Column] = {c: F.col(c) for c in (*shared, *carry)}
     scalars["y_extent"] = F.size("data")
-    if bit_offset:
-        cells["back2"] = (series.shifted(data, 2), F.lit(0))
-        cells["back3"] = (series.shifted(data, 3), F.lit(0))
-        cells["other3"] = (series.shifted(other, 3), F.lit(0))
     if saturation:
         cells["before"] = (series.shifted(data, 1), F.lit(-1))
         cells["after"] = (series.shifted(data, -1), F.lit(-1))
@@ -136,21 +132,27 @@ def correction_terms(
         scalars["ramp_on"] = F.when(model["offset_done"], zero).otherwise(F.lit(1.0))
 
     keys = (*L.PAIR_KEYS, "amp")
-    zipped = F.arrays_zip(*[c.alias(n) for n, (c, _) in cells.items()])
+    readings = F.array().cast("array<struct<back2:int,back3:int,other3:int>>")
+    if bit_offset:
+        cells["bit_offset"] = (F.col("_amplitudes"), zero)
+        readings = F.arrays_zip(
+            series.shifted(data, 2).alias("back2"),
+            series.shifted(data, 3).alias("back3"),
+            series.shifted(other, 3).alias("other3"),
+        )
     # An array function with a lambda is outside whole-stage code generation. It is used here
     # to end the generated line-level code before the explode: fused with it, the pixel loop
     # would be too large for the JVM to compile.
     weights = F.col("parameters") if bit_offset else F.array().cast("array<double>")
     weights = F.transform(weights, lambda w: F.coalesce(w, zero))
-    at_line = images.select(
-        *keys, *[c.alias(n) for n, c in scalars.items()], zipped.alias("_cells"), weights.alias("_w")
-    )
+    at_line = images.withColumns({"_readings": readings, "_w": weights})
     if bit_offset:
-        parameters = {
-            f"p{k}": F.coalesce(F.get("_w", F.lit(k)), zero) for k in range(bits.PARAMETERS_PER_IMAGE)
-        }
-        at_line = at_line.withColumns(parameters)
-        scalars |= parameters
+        names = [f"_p{k}" for k in range(bits.PARAMETERS_PER_IMAGE)]
+        at_line = at_line.withColumns({n: F.coalesce(F.get("_w", F.lit(k)), zero) for k, n in enumerate(names)})
+        at_line = at_line.withColumn("_amplitudes", _amplitudes(F.col("_readings"), [F.col(n) for n in names]))
+        at_line = at_line.withColumn("_amplitudes", _blind_cells_filled(F.col("_amplitudes")))
+    zipped = F.arrays_zip(*[c.alias(n) for n, (c, _) in cells.items()])
+    at_line = at_line.select(*keys, *[c.alias(n) for n, c in scalars.items()], zipped.alias("_cells"))
     # The outer form, because the plain one infers a filter on the array's size, which would be
     # pushed below the zip and repeat it. The filter drops its null row and the cells that a
     # model longer than the line would add.
@@ -173,20 +175,33 @@ def correction_terms(
             (F.col("raw") > level) | (F.col("before") > level) | (F.col("after") > level)
         )
     if bit_offset:
-        params = [F.col(f"p{k}") for k in range(bits.PARAMETERS_PER_IMAGE)]
-        amplitude = bits.correction_amplitude(F.col("back2"), F.col("back3"), F.col("other3"), params)
-        terms["bit_offset"] = F.when(y >= BLIND_CELLS, amplitude)
+        terms["bit_offset"] = F.col("bit_offset")
     if overscan:
         half = O.half_amplitude(F.col("slope"), F.col("intercept"), y)
         terms["even_odd"] = F.when(x % 2 == 0, -half).otherwise(half)
         terms["noise"] = F.col("noise")
         ramp = O.ramp(F.col("multiplier"), F.col("offset"), F.col("last_offset"), x)
         terms["ramp"] = F.col("ramp_on") * ramp
-    p = p.select(*keys, "y", *shared, "y_extent", *carry, "raw", *[c.alias(n) for n, c in terms.items()])
-    if bit_offset:
-        mean = F.avg("bit_offset").over(Window.partitionBy(*keys))
-        p = p.withColumn("bit_offset", F.coalesce(F.col("bit_offset"), mean))
-    return p
+    return p.select(*keys, "y", *shared, "y_extent", *carry, "raw", *[c.alias(n) for n, c in terms.items()])
+
+
+def _amplitudes(readings: Column, weights: Sequence[Column]) -> Column:
+    """The bit-offset amplitude of each reading of a line from those before it."""
+
+    def parts(r: Column) -> Column:
+        back = [F.coalesce(r[name], F.lit(0)) for name in ("back2", "back3", "other3")]
+        return F.struct(*[c.alias(n) for n, c in bits.transition_parts(*back).items()])
+
+    # Lambdas are interpreted, so shared parts are computed once, in a pass of their own.
+    return F.transform(F.transform(readings, parts), lambda r: bits.amplitude_of_parts(r, weights))
+
+
+def _blind_cells_filled(amplitudes: Column) -> Column:
+    """The blind cells get the mean of the others; a line of blind cells alone has none."""
+    seen = F.slice(amplitudes, BLIND_CELLS + 1, F.greatest(F.size(amplitudes) - BLIND_CELLS, F.lit(0)))
+    mean = series.total(seen) / F.nullif(F.size(seen), F.lit(0))
+    blind = F.array_repeat(mean, F.least(F.size(amplitudes), F.lit(BLIND_CELLS)))
+    return F.concat(blind, seen)
 
 
 # --------------------------------------------------------------------------- steps

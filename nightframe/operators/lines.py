@@ -219,7 +219,7 @@ def assemble_lines(lines: DataFrame, axis: str = "y") -> DataFrame:
 
 
 def split_lines(lines: DataFrame, axis: str = "y") -> DataFrame:
-    """Split one-image exposures held as lines, without a join and without an exchange.
+    """Split one-image exposures held as lines, without a join, an exchange or a second read.
 
     The lines carry the section labels of both amplifiers as ``image_sections``, an array of
     ``struct<amp, datasec, biassec>``. Exposures that already have two images pass through.
@@ -243,15 +243,26 @@ def split_lines(lines: DataFrame, axis: str = "y") -> DataFrame:
             placed.append(_place_line(amp, b, d, b, axis, bias=True))
     remade = ("amp", "x", "data", "datasec", "biassec", "x_extent", "bias_lo", "bias_hi", "image_sections")
     keep = [c for c in lines.columns if c not in remade]
-    cells = lines.filter(images.isNotNull()).withColumns(parsed).select(
-        *keep,
-        F.least(*lows).alias("bias_lo"),
-        F.greatest(*highs).alias("bias_hi"),
-        F.explode(F.array_compact(F.array(*placed))).alias("_p"),
+    own = [c for c in ("amp", "x", "data", "datasec", "biassec", "x_extent", "bias_lo", "bias_hi") if c in lines.columns]
+    added = [c for c in ("datasec", "biassec", "x_extent", "bias_lo", "bias_hi") if c not in own]
+    names = (*own, *added)
+    kind = {f.name: f.dataType for f in lines.schema}
+    span = {"bias_lo": F.least(*lows), "bias_hi": F.greatest(*highs)}
+
+    def struct_of(pick) -> Column:
+        return F.struct(*[(pick(c).cast(kind[c]) if c in kind else pick(c).cast(_SPLIT_TYPES[c])).alias(c) for c in names])
+
+    whole = struct_of(lambda c: F.col(c) if c in own else F.lit(None))
+    pieces = F.transform(
+        F.array_compact(F.array(*placed)),
+        lambda p: struct_of(lambda c: F.col(f"_{c}") if c in span else p[c]),
     )
-    split = cells.select(*keep, "bias_lo", "bias_hi", "_p.*")
-    whole = lines.filter(images.isNull()).drop("image_sections")
-    return whole.unionByName(split, allowMissingColumns=True)
+    rows = F.when(images.isNull(), F.array(whole)).otherwise(pieces)
+    parsed = lines.withColumns(parsed).withColumns({f"_{c}": e for c, e in span.items()})
+    return parsed.select(*keep, F.explode(rows).alias("_p")).select(*keep, "_p.*")
+
+
+_SPLIT_TYPES = {"datasec": "string", "biassec": "string", "x_extent": "int", "bias_lo": "int", "bias_hi": "int"}
 
 
 def _place_line(amp: Column, section: Column, d: Column, b: Column, axis: str, bias: bool) -> Column:

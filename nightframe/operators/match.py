@@ -9,7 +9,9 @@ only written out by ``all_matches`` for the primaries a caller asks about.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +22,13 @@ from nightframe import schemas
 @dataclass(frozen=True)
 class MatchRule:
     file_type: str
-    keys: tuple[str, ...]  # empty: every primary shares one match set
+    keys: tuple[str, ...] = ()  # empty: every primary shares one match set
+    #: Instead of keys: a function of primaries and the type's files that gives ``file_path, match_path`` pairs.
+    pairs: Callable[[DataFrame, DataFrame], DataFrame] | None = None
 
     @property
     def is_global(self) -> bool:
-        return not self.keys
+        return not self.keys and self.pairs is None
 
 
 class MatchRegistry:
@@ -57,6 +61,8 @@ for _rule in (
 def members(file_type: str, catalog: DataFrame) -> DataFrame:
     """All match sets of a type: key columns and ``match_path``. A null key matches nothing."""
     rule = registry.rule(file_type)
+    if rule.pairs:
+        raise ValueError(f"{file_type} is matched by a function and has no sets: use all_matches()")
     files = catalog.filter(F.col("type") == rule.file_type)
     if rule.keys:
         files = files.dropna(subset=list(rule.keys))
@@ -80,8 +86,13 @@ def first_match(
     global rule needs no join at all: its single summary row is a scalar subquery.
     """
     rule = registry.rule(file_type)
-    summary = set_summary(file_type, catalog)
-    if rule.is_global:
+    summary = None if rule.pairs else set_summary(file_type, catalog)
+    if rule.pairs:
+        chosen = all_matches(file_type, primaries, catalog).groupBy("file_path").agg(
+            F.count("*").alias("n_matches"), F.min("match_path").alias("match_path")
+        )
+        found = primaries.join(chosen, "file_path", "left")
+    elif rule.is_global:
         found = primaries.withColumns(
             {
                 "n_matches": summary.select("n_matches").scalar(),
@@ -89,7 +100,10 @@ def first_match(
             }
         )
     else:
-        found = primaries.join(summary, list(rule.keys), "left")
+        # a null key matches nothing; kept out of the join, such primaries don't meet in one task
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
+        found = primaries.filter(known).join(summary, list(rule.keys), "left")
+        found = found.unionByName(primaries.filter(~known), allowMissingColumns=True)
     found = found.withColumn("n_matches", F.coalesce("n_matches", F.lit(0)))
     if strict:
         message = F.concat(
@@ -110,6 +124,9 @@ def all_matches(file_type: str, primaries: DataFrame, catalog: DataFrame) -> Dat
     rule = registry.rule(file_type)
     if rule.is_global:
         raise ValueError(f"{file_type} has one match set for all primaries: use members()")
+    if rule.pairs:
+        files = catalog.filter(F.col("type") == rule.file_type)
+        return rule.pairs(primaries, files).select("file_path", "match_path").distinct()
     keyed = primaries.select("file_path", *rule.keys)
     return keyed.join(members(file_type, catalog), list(rule.keys)).select("file_path", "match_path")
 

@@ -182,9 +182,17 @@ def overscan_model(
     )
 
 
+PIXEL_FIELDS = (
+    "slope", "intercept", "overscan_variance", "multiplier", "offset", "even_odd_done", "variance_done", "offset_done",
+)
+
+
 def model_per_exposure(model: DataFrame) -> DataFrame:
-    """Fold the two images' models into one row per exposure: ``model0``, ``model1``."""
-    fields = [c for c in model.columns if c not in (*IMAGE_KEYS, "x_extent")]
+    """Fold the two images' models into one row per exposure: ``model0``, ``model1``.
+
+    Only the fields that pixels need: the row is repeated for each block of lines.
+    """
+    fields = [c for c in PIXEL_FIELDS if c in model.columns]
     return model.groupBy("exposure_id").agg(
         *[
             F.first(F.when(F.col("amp") == amp, F.struct(*fields)), ignorenulls=True).alias(f"model{amp}")

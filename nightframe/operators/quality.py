@@ -62,6 +62,14 @@ def both(*violations: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, violations)
 
 
+def unreadable(catalog: DataFrame) -> DataFrame:
+    """Header cards and path values of the written entries that could not be read."""
+    if "unreadable" not in catalog.columns:
+        catalog = catalog.withColumn("unreadable", F.lit(None).cast("string"))
+    rows = catalog.filter(F.col("unreadable").isNotNull())
+    return rows.select(*_violation("type", F.col("file_path"), F.col("unreadable")))
+
+
 def catalog_violations(catalog: DataFrame) -> DataFrame:
     return both(
         unique(catalog, "file_path"),
@@ -86,5 +94,19 @@ def check_catalog(catalog: DataFrame) -> None:
     require_clean(catalog_violations(catalog))
 
 
+def check_catalog_strictly(catalog: DataFrame) -> None:
+    """As above, and no value of the newly read files may be lost."""
+    require_clean(both(catalog_violations(catalog), unreadable(catalog)))
+
+
+def event_violations(events: DataFrame) -> DataFrame:
+    """Events whose time could not be read."""
+    return events.filter(F.col("time").isNull()).select(*_violation("time", F.col("channel"), F.col("zone")))
+
+
+def check_events_strictly(events: DataFrame) -> None:
+    require_clean(event_violations(events))
+
+
 def check_weather(rows: DataFrame) -> None:
     require_clean(weather_violations(rows))

@@ -27,7 +27,7 @@ def fits_catalog(spark, sf):
     """Catalogue entries of image files: header, file facts and path combined."""
     files = V.image_files(spark, sf)
     facts = C.file_facts(files, datetime(2024, 6, 1))
-    e = C.conform(C.entries(facts, fits.header_rows(files)))
+    e = C.conform(C.entries(facts, fits.header_rows(files))).drop(C.UNREADABLE)
     shown = {c: times.utc_wall_clock(F.col(c)) for c in ("time_creation", "time_observation")}
     return e.drop("time_added").withColumns(shown)
 

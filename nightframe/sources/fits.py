@@ -100,11 +100,11 @@ def _header_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         columns: list[list] = [[] for _ in names]
         image = 0
         for number, cards, _, size in hdus(content):
-            with_data = size > 0
+            with_data, is_image = size > 0, _is_image(cards, size)
             for key, value in sorted(cards.items()):
                 kind = type(value).__name__
                 row = (
-                    path, number, image if with_data else None, key, kind,
+                    path, number, image if is_image else None, key, kind,
                     value if kind == "str" else None,
                     float(value) if kind in ("int", "float") else None,
                     value if kind == "bool" else None,
@@ -112,7 +112,7 @@ def _header_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 )
                 for column, cell in zip(columns, row):
                     column.append(cell)
-            image += with_data
+            image += is_image
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
