@@ -1,9 +1,9 @@
 """Exact percentiles of large groups.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here the group is
-cut into value buckets that aggregate partially; only the buckets holding a wanted rank are
-looked at again. Two levels of buckets leave a handful of distinct values per rank, and the
-result is exact whatever the distribution.
+counted by distinct value first, which is partial on every executor and is computed once. The counts are
+cut into value buckets; only the buckets holding a wanted rank are looked at again. Two levels of buckets
+leave a handful of distinct values per rank, and the result is exact whatever the distribution.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LOG_STEPS = 512  # first-level buckets per unit of log(1 + |value|)
+SALTS = 16  # tasks that share the values of one bucket
 LINEAR_STEPS = 65536  # second-level buckets between the ends of a first-level bucket
 
 
@@ -51,10 +52,10 @@ def exact_percentiles(
     )
     x = F.col("_v")
     log_bucket = F.floor(F.signum(x) * F.log1p(F.abs(x)) * LOG_STEPS)
-    v = v.withColumn("_b", log_bucket)
+    v = v.groupBy(*group, "_v").agg(F.count("*").alias("_n")).withColumn("_b", log_bucket)
 
     level1 = v.groupBy(*group, "_b").agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
     whole = Window.partitionBy(*group)
     so_far = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -69,10 +70,12 @@ def exact_percentiles(
     # Only values of the held buckets go on, as counts of distinct values.
     span = F.col("_hi") - F.col("_lo")
     fine = F.when(span > 0, F.floor((x - F.col("_lo")) / span * LINEAR_STEPS)).otherwise(F.lit(0))
-    kept = v.join(buckets, [*group, "_b"])
+    # One bucket may hold nearly all values of a frame: values are dealt by a hash, buckets repeated.
+    salted = v.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)))
+    spread = buckets.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     # Offset and total are constant per bucket; they ride along so that no later join needs them.
-    distinct = kept.groupBy(*group, "_b", fine.alias("_s"), "_v").agg(
-        F.count("*").alias("_n"), F.min("_before").alias("_before"), F.min("_total").alias("_total")
+    distinct = salted.join(spread, [*group, "_b", "_salt"]).select(
+        *group, "_b", fine.alias("_s"), "_v", "_n", "_before", "_total"
     )
 
     level2 = distinct.groupBy(*group, "_b", "_s").agg(

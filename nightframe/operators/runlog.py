@@ -24,12 +24,5 @@ def events(lines: DataFrame, marker: str = EVENT_MARKER, pattern: str = EVENT_PA
     return parsed.select("channel", F.col("_t.time").alias("time"), F.col("_t.zone").alias("zone"))
 
 
-def unreadable_times(rows: DataFrame) -> DataFrame:
-    """Quality rows for events whose time could not be read."""
-    return rows.filter(F.col("time").isNull()).select(
-        F.lit("time").alias("rule"), F.col("channel").alias("key"), F.col("zone").alias("detail")
-    )
-
-
 def stored(rows: DataFrame) -> DataFrame:
     return rows.select(*schemas.EVENT_ROWS.names)

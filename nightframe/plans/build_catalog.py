@@ -31,33 +31,47 @@ def refresh_catalog(
     catalog_root: str,
     refresh: bool = False,
     added: datetime | None = None,
+    strict: bool = False,
 ) -> str:
     """Bring the catalogue up to date with the tree and write it as a new snapshot.
 
     Only files the catalogue does not know are opened: the anti-join runs on the listing, and
     contents are read for what is left. ``refresh`` re-reads everything. An empty tree gives
-    an empty catalogue. Returns the snapshot's folder.
+    an empty catalogue. A table kept in snapshots is one entry, its newest published one.
+    Values that cannot be read are null and named in the snapshot's column ``unreadable``
+    (``quality.unreadable``); with ``strict`` they fail the job. Returns the snapshot's folder.
     """
     added = added or datetime.now(timezone.utc)
     old = None if refresh else current_catalog(spark, catalog_root)
-    listing = files.list_files(spark, data_root)
-    if old is None:
-        found = files.read_files(spark, data_root)
-    else:
-        found = files.read_selected(spark, data_root, C.new_files(listing, old))
-    fresh = entries_of(found, added)
+    listing = files.published_tables(spark, data_root, files.list_files(spark, data_root))
+    new = C.new_files(listing, old)
+    # a table's entry is its folder: nothing of it is opened here
+    is_table = F.col("file_path").rlike(files.SNAPSHOT)
+    plain = files.read_files(spark, data_root) if old is None else files.read_selected(spark, data_root, new.filter(~is_table))
+    plain = plain.filter(~is_table)
+    tables = new.filter(is_table).withColumn("content", F.lit(None).cast("binary"))
+    fresh = entries_of(plain.unionByName(tables), added)
     catalog = C.conform(C.refreshed(old, fresh, listing))
-    return sinks.write_catalog(catalog, catalog_root, DQ.check_catalog)
+    return sinks.write_catalog(catalog, catalog_root, DQ.check_catalog_strictly if strict else DQ.check_catalog)
 
 
 def upsert_files(
-    spark: SparkSession, found: DataFrame, catalog_root: str, added: datetime | None = None
+    spark: SparkSession,
+    found: DataFrame,
+    catalog_root: str,
+    added: datetime | None = None,
+    replaces: str | None = None,
 ) -> str | None:
-    """Add or replace single files; writes a new snapshot only if the content changed."""
+    """Add or replace single files; puts a new snapshot in force only if the content changed.
+
+    Entries whose path starts with ``replaces`` go first. The snapshot is written before it is compared, so the
+    files are decoded once.
+    """
     added = added or datetime.now(timezone.utc)
     old = current_catalog(spark, catalog_root)
     fresh = C.conform(entries_of(found, added))
     if old is None:
         return sinks.write_catalog(C.latest(fresh, order=("time_added",)), catalog_root, DQ.check_catalog)
-    new = C.conform(C.upsert(old, fresh))
-    return sinks.write_catalog(new, catalog_root, DQ.check_catalog) if C.differs(old, new) else None
+    rest = old if replaces is None else old.filter(~F.startswith("file_path", F.lit(replaces)))
+    new = C.conform(C.upsert(rest, fresh))
+    return sinks.write_catalog(new, catalog_root, DQ.check_catalog, unless_same_as=old)

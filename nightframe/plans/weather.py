@@ -37,7 +37,8 @@ def refresh_weather(
     stored = current_weather(spark, weather_root)
     if stored is not None and W.is_fresh(stored, now):
         return None
-    lines = W.of_years(files.read_text_lines(spark, landing), W.years_to_read(now, lookback_days))
+    wanted = W.of_years(files.list_any(spark, landing), W.years_to_read(now, lookback_days))
+    lines = files.read_selected_lines(spark, landing, wanted)
     merged = W.merge(None if refresh else stored, W.parse(lines), files.LINE_ORDER)
     return sinks.write_weather(merged, weather_root, station, DQ.check_weather)
 

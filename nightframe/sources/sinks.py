@@ -7,16 +7,19 @@ or a failed check leaves the snapshot before it in force.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nightframe.operators.catalog import differs
+
 PUBLISHED = "_PUBLISHED"
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the published snapshots below ``root``."""
+def _snapshots(spark: SparkSession, root: str, published: bool = True) -> list[str]:
+    """Names of the snapshots below ``root``, oldest first."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     path = hadoop_path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -25,21 +28,32 @@ def _snapshots(spark: SparkSession, root: str) -> list[int]:
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith("snapshot-") and fs.exists(hadoop_path(status.getPath(), PUBLISHED)):
-            found.append(int(name.split("-")[1]))
+        if name.startswith("snapshot-") and (not published or fs.exists(hadoop_path(status.getPath(), PUBLISHED))):
+            found.append(name)
     return sorted(found)
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
     """Folder of the newest published snapshot."""
     found = _snapshots(spark, root)
-    return f"{root.rstrip('/')}/snapshot-{found[-1]:010d}" if found else None
+    return f"{root.rstrip('/')}/{found[-1]}" if found else None
 
 
 def next_snapshot(spark: SparkSession, root: str) -> str:
-    """Folder for the next snapshot. An unfinished one of a failed job is overwritten."""
-    found = _snapshots(spark, root)
-    return f"{root.rstrip('/')}/snapshot-{(found[-1] + 1 if found else 0):010d}"
+    """Folder for the next snapshot, no other writer's: the number is followed by a random part."""
+    found = _snapshots(spark, root, published=False)
+    number = int(found[-1].split("-")[1]) + 1 if found else 0
+    return f"{root.rstrip('/')}/snapshot-{number:010d}-{uuid.uuid4().hex[:8]}"
+
+
+def drop_old_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Deletes all but the newest ``keep`` published snapshots, and unpublished ones older than these."""
+    kept = _snapshots(spark, root)[-max(keep, 1) :]
+    old = [n for n in _snapshots(spark, root, published=False) if kept and n < kept[0]]
+    for name in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root, name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
 
 
 def publish(spark: SparkSession, path: str, check: Callable[[DataFrame], None] | None = None) -> str:
@@ -51,14 +65,22 @@ def publish(spark: SparkSession, path: str, check: Callable[[DataFrame], None] |
     return path
 
 
-def write_catalog(catalog: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> str:
+def write_catalog(
+    catalog: DataFrame,
+    root: str,
+    check: Callable[[DataFrame], None] | None = None,
+    unless_same_as: DataFrame | None = None,
+) -> str | None:
     """Write a catalogue sorted by path as a new snapshot; the one being read stays intact.
 
-    Range partitions give a global order and let readers skip row groups by path.
+    Range partitions give a global order and let readers skip row groups by path. A snapshot with
+    the content of ``unless_same_as`` is left unpublished, and None is returned.
     """
     path = next_snapshot(catalog.sparkSession, root)
     ordered = catalog.repartitionByRange("file_path").sortWithinPartitions("file_path")
     ordered.write.mode("overwrite").parquet(path)
+    if unless_same_as is not None and not differs(unless_same_as, catalog.sparkSession.read.schema(catalog.schema).parquet(path)):
+        return None
     return publish(catalog.sparkSession, path, check)
 
 
@@ -73,16 +95,18 @@ def write_weather(
     return publish(rows.sparkSession, path, check)
 
 
-def write_events(rows: DataFrame, root: str) -> str:
+def write_events(rows: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> str:
     """Write detector-on events, sorted by time and gzip-compressed, under ``type=CCD_ON_TIMES``."""
     path = next_snapshot(rows.sparkSession, root)
     ordered = rows.repartitionByRange("time").sortWithinPartitions("time")
     tagged = ordered.withColumn("type", F.lit("CCD_ON_TIMES"))
     tagged.write.mode("overwrite").option("compression", "gzip").partitionBy("type").parquet(path)
-    return publish(rows.sparkSession, path)
+    return publish(rows.sparkSession, path, check)
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    """Write images as lines; rows of an exposure stay together for row-group skipping."""
+def write_lines(lines: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> str:
+    """Write images as lines, as a new snapshot; rows of an exposure stay together for row-group skipping."""
+    path = next_snapshot(lines.sparkSession, root)
     keys = [c for c in ("exposure_id", "amp", "x") if c in lines.columns]
-    lines.sortWithinPartitions(*keys).write.mode("errorifexists").parquet(path)
+    lines.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    return publish(lines.sparkSession, path, check)
