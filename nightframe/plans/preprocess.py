@@ -10,14 +10,56 @@ from pyspark.sql import functions as F
 from nightframe.operators import detector as D
 from nightframe.operators import lines as L
 from nightframe.operators import overscan as O
+from nightframe.operators import quality as DQ
 
 
 def exposures_of(lines: DataFrame) -> DataFrame:
     """One row per exposure: channel and number of lines. Reads three narrow columns.
 
-    The channel is a grouping key because a string key keeps the aggregation hash-based.
+    The channel is a grouping key first because a string key keeps the aggregation hash-based. An image without
+    the card has its exposure's channel; of several channels the first counts (:func:`line_violations`).
     """
-    return lines.groupBy("exposure_id", "channel").agg(F.max("x_extent").alias("x_extent"))
+    per_channel = lines.groupBy("exposure_id", "channel").agg(F.max("x_extent").alias("x_extent"))
+    return per_channel.groupBy("exposure_id").agg(F.min("channel").alias("channel"), F.max("x_extent").alias("x_extent"))
+
+
+def line_violations(lines: DataFrame, models: DataFrame | None = None) -> DataFrame:
+    """``(rule, key, detail)`` for exposures that can't be pre-processed.
+
+    Rules: other than two images, several channels, no bias section, and no model for the channel if
+    ``models`` (``channel, parameters``) are given. One narrow aggregation of the lines.
+    """
+    images = lines.groupBy("exposure_id", "amp", "channel").agg(F.max("bias_hi").alias("bias_hi"))
+    facts = images.groupBy("exposure_id").agg(
+        F.count_distinct("amp").alias("images"),
+        F.sort_array(F.collect_set("channel")).alias("channels"),
+        F.max("bias_hi").alias("bias_hi"),
+    )
+    checks = [
+        ("two_images", F.col("images") != 2, F.col("images").cast("string")),
+        ("one_channel", F.size("channels") > 1, F.array_join("channels", ",")),
+        ("bias_section", F.col("bias_hi").isNull(), F.lit("none")),
+    ]
+    if models is not None:
+        known = models.select(F.col("channel").alias("_channel"), F.lit(True).alias("_known")).distinct()
+        facts = facts.withColumn("_first", F.get("channels", F.lit(0)))
+        facts = facts.join(known, F.col("_first") == F.col("_channel"), "left")
+        checks.append(("model", F.col("_known").isNull(), F.coalesce("_first", F.lit("no channel"))))
+    found = [F.when(bad, F.struct(F.lit(rule).alias("rule"), detail.alias("detail"))) for rule, bad, detail in checks]
+    rows = facts.select(F.col("exposure_id").cast("string").alias("key"), F.explode(F.array_compact(F.array(*found))).alias("v"))
+    return rows.select("v.rule", "key", "v.detail")
+
+
+def usable_lines(
+    lines: DataFrame, models: DataFrame | None = None, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Lines of the exposures that can be pre-processed, and the violations of the others; strict raises."""
+    violations = line_violations(lines, models)
+    if strict:
+        DQ.require_clean(violations)
+    bad = violations.select(F.col("key").alias("_bad")).distinct()
+    good = lines.join(bad, F.col("exposure_id").cast("string") == F.col("_bad"), "left_anti")
+    return good, violations
 
 
 def exposure_parameters(lines: DataFrame, models: DataFrame) -> DataFrame:

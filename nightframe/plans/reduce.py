@@ -14,22 +14,22 @@ def reduce_science(
 ) -> tuple[DataFrame, DataFrame]:
     """Inputs of every science primary, and the corrected pixels of their exposures.
 
-    Refresh the weather first (``plans.weather.refresh``). ``primaries`` has ``exposure_id``
-    beside the catalogue columns; only lines of wanted exposures should be passed.
+    Refresh the weather first (``plans.weather.refresh_weather``). ``primaries`` has ``exposure_id``
+    beside the catalogue columns; other exposures' lines are left out before anything is shuffled.
     """
-    return M.resolve_science(primaries, catalog, strict), preprocess(lines, models)
+    return M.resolve_science(primaries, catalog, strict), preprocess(lines_of_primaries(lines, primaries), models)
 
 
 def reduce_continuum(
     primaries: DataFrame, catalog: DataFrame, lines: DataFrame, models: DataFrame, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Inputs of every continuum primary, and the corrected pixels of their exposures."""
-    return M.resolve_continuum(primaries, catalog, strict), preprocess(lines, models)
+    return M.resolve_continuum(primaries, catalog, strict), preprocess(lines_of_primaries(lines, primaries), models)
 
 
 def lines_of_primaries(lines: DataFrame, primaries: DataFrame) -> DataFrame:
-    """Only the lines of the wanted exposures; use it for few primaries."""
-    return lines.join(primaries.select("exposure_id"), "exposure_id", "left_semi")
+    """Only the lines of the wanted exposures. The wanted ids are few beside the lines."""
+    return lines.join(primaries.select("exposure_id").distinct(), "exposure_id", "left_semi")
 
 
 def image_summary(pixels: DataFrame) -> DataFrame:

@@ -43,11 +43,11 @@ def read_selected(spark: SparkSession, root: str, wanted: DataFrame, batch: int
         path = paths.relative_to(F.col("path"), root).alias("file_path")
         return loaded.select(path, "length", "modificationTime", "content")
 
-    parts = [scan(found) for found in _batches(root, wanted, batch)]
+    parts = [scan(found) for found in batches_of(root, wanted, batch)]
     return reduce(DataFrame.unionByName, parts or [read_files(spark, root).limit(0)])
 
 
-def _batches(root: str, wanted: DataFrame, size: int) -> Iterator[list[str]]:
+def batches_of(root: str, wanted: DataFrame, size: int = 100_000) -> Iterator[list[str]]:
     """Full paths of ``wanted`` files in batches, with the characters escaped that a path pattern knows."""
     base, names = root.rstrip("/"), []
     for row in wanted.select("file_path").toLocalIterator():
@@ -61,7 +61,7 @@ def _batches(root: str, wanted: DataFrame, size: int) -> Iterator[list[str]]:
 
 def read_selected_lines(spark: SparkSession, root: str, wanted: DataFrame, batch: int = 100_000) -> DataFrame:
     """Text lines of the ``wanted`` paths only, as :func:`read_text_lines` gives them."""
-    parts = [_lines(spark.read.option("recursiveFileLookup", True).text(found)) for found in _batches(root, wanted, batch)]
+    parts = [_lines(spark.read.option("recursiveFileLookup", True).text(found)) for found in batches_of(root, wanted, batch)]
     return reduce(DataFrame.unionByName, parts or [_lines(spark.read.option("recursiveFileLookup", True).text(root)).limit(0)])
 
 

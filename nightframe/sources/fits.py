@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,38 @@ def _is_image(cards: dict, size: int) -> bool:
     return size > 0 and cards.get("NAXIS") == 2 and cards.get("XTENSION", "IMAGE") == "IMAGE"
 
 
+def _unread(cards: dict, size: int) -> str | None:
+    """Why the data of an HDU give no lines; None if they do or if there are none."""
+    if size == 0 or _is_image(cards, size):
+        return None
+    if cards.get("ZIMAGE") is True:
+        return "compressed image"
+    kind = cards.get("XTENSION", "IMAGE")
+    return f"image of {cards.get('NAXIS')} dimensions" if kind == "IMAGE" else f"{kind} extension"
+
+
+def _problem_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for path, content in _files(batches):
+        rows, end, number = [], 0, -1
+        try:
+            for number, cards, at, size in hdus(content):
+                end = at + -(-size // BLOCK) * BLOCK
+                if reason := _unread(cards, size):
+                    rows.append((path, number, reason))
+            if end < len(content):
+                rows.append((path, number, f"{len(content) - end} bytes after the last HDU"))
+        except (ValueError, KeyError) as error:
+            rows.append((path, number + 1, str(error)))
+        if rows:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["file_path", "hdu", "reason"])
+
+
+def file_problems(files: DataFrame) -> DataFrame:
+    """``(file_path, hdu, reason)`` for everything that gives no lines: broken files, other data, trailing bytes."""
+    return files.select("file_path", "content").mapInArrow(_problem_batches, "file_path STRING, hdu INT, reason STRING")
+
+
 def _pixels(content: bytes, cards: dict, at: int) -> np.ndarray:
     """Physical image with axis 0 = x (the fastest axis of the file) and axis 1 = y."""
     nx, ny = cards["NAXIS1"], cards["NAXIS2"]
@@ -92,14 +125,24 @@ def _files(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
             yield path.as_py(), content.as_buffer().to_pybytes()
 
 
-def _header_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _readable(path: str, content: bytes, strict: bool) -> list[tuple[int, dict, int, int]]:
+    """All HDUs of a file; of a broken file none, or an error when strict."""
+    try:
+        return list(hdus(content))
+    except (ValueError, KeyError) as error:
+        if strict:
+            raise ValueError(f"{path}: {error}") from error
+        return []
+
+
+def _header_batches(batches: Iterable[pa.RecordBatch], strict: bool = True) -> Iterator[pa.RecordBatch]:
     names = schemas.HEADER_ROWS.names
     types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(),
              pa.bool_(), pa.bool_()]
     for path, content in _files(batches):
         columns: list[list] = [[] for _ in names]
         image = 0
-        for number, cards, _, size in hdus(content):
+        for number, cards, _, size in _readable(path, content, strict):
             with_data, is_image = size > 0, _is_image(cards, size)
             for key, value in sorted(cards.items()):
                 kind = type(value).__name__
@@ -116,9 +159,13 @@ def _header_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-def header_rows(files: DataFrame) -> DataFrame:
-    """All header cards of all HDUs as rows; cards without value are left out."""
-    return files.select("file_path", "content").mapInArrow(_header_batches, schemas.HEADER_ROWS)
+def header_rows(files: DataFrame, strict: bool = True) -> DataFrame:
+    """All header cards of all HDUs as rows; cards without value are left out.
+
+    A broken file is an error; unless ``strict`` it has no rows and :func:`file_problems` names it.
+    """
+    run = partial(_header_batches, strict=strict)
+    return files.select("file_path", "content").mapInArrow(run, schemas.HEADER_ROWS)
 
 
 def headers_of(header: DataFrame, hdu: int = 0) -> DataFrame:
@@ -161,14 +208,17 @@ def _bias_span(images: list[dict]) -> tuple[int | None, int | None]:
     return (min(ends) - 1, max(ends)) if ends else (None, None)
 
 
-def _line_batches(integer: bool, with_header: bool):
+def _line_batches(integer: bool, with_header: bool, strict: bool):
     fields = [*_LINE_FIELDS, ("header", pa.string())] if with_header else _LINE_FIELDS
     kind, dtype = (pa.int32(), np.int32) if integer else (pa.float64(), np.float64)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [n for n, _ in fields]
         for path, content in _files(batches):
-            parts = list(hdus(content))
+            parts = _readable(path, content, strict)
+            lost = [r for _, cards, _, size in parts if (r := _unread(cards, size)) and "image" in r]
+            if strict and lost:
+                raise ValueError(f"{path} holds a {lost[0]}, which is not read")
             primary = parts[0][1] if parts else {}
             images = [p for p in parts if _is_image(p[1], p[3])]
             low, high = _bias_span([cards for _, cards, _, _ in images])
@@ -211,20 +261,21 @@ def _line_batches(integer: bool, with_header: bool):
     return decode
 
 
-def image_lines(files: DataFrame, integer: bool = False) -> DataFrame:
+def image_lines(files: DataFrame, integer: bool = False, strict: bool = True) -> DataFrame:
     """All image HDUs as lines, one row per ``(exposure_id, hdu, x)`` with ``data`` along y.
 
     ``exposure_id`` is the file path and ``amp`` counts the images of the file. ``integer``
-    keeps detector readings as 32-bit integers, as the bit-level corrections need them.
+    keeps detector readings as 32-bit integers, as the bit-level corrections need them. A broken file or
+    an image in another form is an error; unless ``strict`` it gives no lines and :func:`file_problems` names it.
     """
-    return _decode(files, integer, with_header=False)
+    return _decode(files, integer, with_header=False, strict=strict)
 
 
-def _decode(files: DataFrame, integer: bool, with_header: bool) -> DataFrame:
+def _decode(files: DataFrame, integer: bool, with_header: bool, strict: bool = True) -> DataFrame:
     schema = _LINE_DDL.format(kind="INT" if integer else "DOUBLE")
     if with_header:
         schema += ", header STRING"
-    return files.select("file_path", "content").mapInArrow(_line_batches(integer, with_header), schema)
+    return files.select("file_path", "content").mapInArrow(_line_batches(integer, with_header, strict), schema)
 
 
 def lines_of(lines: DataFrame, hdu: int) -> DataFrame:

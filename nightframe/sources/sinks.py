@@ -33,6 +33,16 @@ def _snapshots(spark: SparkSession, root: str, published: bool = True) -> list[s
     return sorted(found)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def published_snapshots(spark: SparkSession, root: str) -> list[str]:
+    """Folders of all published snapshots, oldest first."""
+    return [f"{root.rstrip('/')}/{name}" for name in _snapshots(spark, root)]
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
     """Folder of the newest published snapshot."""
     found = _snapshots(spark, root)

@@ -2,7 +2,8 @@
 
 Each is a file stream with ``trigger(availableNow=True)`` and a ``foreachBatch`` upsert: the
 stream's checkpoint remembers which files were read, the batch merges into the newest snapshot
-and writes the next one. Keep-last is an update, so stream deduplication (keep-first) would
+and writes the next one. A file stream reads a path once, so length and time of every file read are kept
+beside the checkpoint, and files that have grown or were replaced are merged anew before the stream starts. Keep-last is an update, so stream deduplication (keep-first) would
 give another result. A batch that is run again after a failure merges the same rows once more,
 which changes nothing.
 """
@@ -27,10 +28,32 @@ from nightframe.sources import files, sinks
 BINARY_FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
+STATE = "file_path STRING, length BIGINT, modificationTime TIMESTAMP"
+
+
+def _remember(read: DataFrame, checkpoint: str) -> None:
+    read.select("file_path", "length", "modificationTime").distinct().write.mode("append").parquet(_state(checkpoint))
+
+
+def _state(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-files"
+
+
+def _changed(spark: SparkSession, listing: DataFrame, checkpoint: str) -> DataFrame:
+    """Files read before whose length or time isn't as it was when they were last read."""
+    if not sinks.exists(spark, _state(checkpoint)):
+        return listing.limit(0)
+    known = spark.read.schema(STATE).parquet(_state(checkpoint)).groupBy("file_path").agg(
+        F.max(F.struct("modificationTime", "length")).alias("was")
+    )
+    now = F.struct("modificationTime", "length")
+    return listing.join(known, "file_path").filter(now != F.col("was")).drop("was")
+
+
 def stream_catalog(
     spark: SparkSession, data_root: str, catalog_root: str, checkpoint: str, files_per_batch: int = 10_000
 ) -> StreamingQuery:
-    """Add new files of the tree to the catalogue. Deletions are left to the batch refresh."""
+    """Add new and changed files of the tree to the catalogue. Deletions are left to the batch refresh."""
     found = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILES)
@@ -48,6 +71,11 @@ def stream_catalog(
         fresh = C.conform(entries_of(batch, datetime.now(timezone.utc)))
         merged = C.merge(current_catalog(batch.sparkSession, catalog_root), fresh)
         sinks.write_catalog(C.conform(merged.dropna(subset=["type"])), catalog_root, DQ.check_catalog)
+        _remember(batch, checkpoint)
+
+    changed = _changed(spark, files.list_files(spark, data_root), checkpoint)
+    if not changed.isEmpty():
+        merge(files.read_selected(spark, data_root, changed), -1)
 
     return (
         found.writeStream.foreachBatch(merge)
@@ -60,27 +88,36 @@ def stream_catalog(
 def stream_weather(
     spark: SparkSession, landing: str, weather_root: str, checkpoint: str, station: str = STATION
 ) -> StreamingQuery:
-    """Merge new weather files into the series."""
+    """Merge new and grown weather files into the series."""
+
+    def with_file(lines: DataFrame) -> DataFrame:
+        return lines.select(
+            "value",
+            paths.relative_to(F.col("_metadata.file_path"), landing).alias("file_path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.col("_metadata.file_size").alias("length"),
+            F.col("_metadata.file_modification_time").alias("modificationTime"),
+        )
+
     text = (
         spark.readStream.format("text")
         .schema("value STRING")
         .option("recursiveFileLookup", True)
         .load(landing)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block"),
-        )
     )
 
     def merge(batch: DataFrame, _: int) -> None:
-        placed = batch.withColumn("seq", F.monotonically_increasing_id())
+        placed = batch.drop("length", "modificationTime").withColumn("seq", F.monotonically_increasing_id())
         stored = current_weather(batch.sparkSession, weather_root)
         merged = W.merge(stored, W.parse(placed), files.LINE_ORDER)
         sinks.write_weather(merged, weather_root, station, DQ.check_weather)
+        _remember(batch, checkpoint)
+
+    for found in files.batches_of(landing, _changed(spark, files.list_any(spark, landing), checkpoint)):
+        merge(with_file(spark.read.option("recursiveFileLookup", True).text(found)), -1)
 
     return (
-        text.writeStream.foreachBatch(merge)
+        with_file(text).writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
