@@ -91,18 +91,25 @@ def segment_radii(distance: int, segments: int) -> list[int]:
     return [quotient if i <= rest else quotient - 1 for i in range(segments)]
 
 
-def _distance(a: str, b: str, words: int) -> Column:
+def _distance(a: list[str], b: list[str]) -> Column:
     total = F.lit(0)
-    for i in range(words):
-        total = total + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+    for x, y in zip(a, b, strict=True):
+        total = total + F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
     return total
 
 
-def _segments(fp: str, cuts: list[tuple[int, int]]) -> list[Column]:
-    return [
-        F.shiftrightunsigned(F.col(fp)[first // 64], first % 64).bitwiseAND(F.lit((1 << width) - 1))
-        for first, width in cuts
-    ]
+def _words(prefix: str, words: int, of: str = "fp") -> list[Column]:
+    """The words of a fingerprint as columns: they take less room in a shuffled row than an array."""
+    return [F.col(of)[i].alias(f"{prefix}{i}") for i in range(words)]
+
+
+def _names(prefix: str, words: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(words)]
+
+
+def _bucket(segment: int, value: Column) -> Column:
+    """A segment's number and value as one key."""
+    return F.shiftleft(value, 8).bitwiseOR(F.lit(segment).cast("long"))
 
 
 def links(distinct: DataFrame, distance: int, segments: int, words: int = 1, radii: list[int] | None = None) -> DataFrame:
@@ -117,49 +124,44 @@ def links(distinct: DataFrame, distance: int, segments: int, words: int = 1, rad
     cuts = segment_bits(64 * words, segments)
     radii = segment_radii(distance, segments) if radii is None else radii
     held = [i for i, r in enumerate(radii) if r >= 0]
-    keys = _segments("fp", cuts)
-    tables = distinct.select(
-        "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), keys[i].alias("key")) for i in held])).alias("s")
-    ).select(F.col("s.seg").alias("seg"), F.col("s.key").alias("key"), "fp")
-    first = tables.groupBy("seg", "key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    values = [
+        F.shiftrightunsigned(F.col("fp")[at // 64], at % 64).bitwiseAND(F.lit((1 << width) - 1)) for at, width in cuts
+    ]
+    buckets = F.explode(F.array(*[_bucket(i, values[i]) for i in held])).alias("key")
+    tables = distinct.select("fp", buckets)
+    first = tables.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    near = _distance(_names("p", words), _names("q", words)) <= distance
     stars = checkpoint(
         tables.withColumnRenamed("fp", "b")
-        .join(first, ["seg", "key"])
-        .where((F.col("a") != F.col("b")) & (_distance("a", "b", words) <= distance))
+        .join(first, "key")
+        .where(F.col("a") != F.col("b"))
+        .select("a", "b", *_words("p", words, "a"), *_words("q", words, "b"))
+        .where(near)
         .select("a", "b")
         .distinct()
     )
     groups = connected_components(stars)
+    root = F.coalesce("root", "fp")
     labelled = checkpoint(
         distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-            "fp", F.coalesce("root", "fp").alias("label")
+            "fp", (root[0] if words == 1 else F.xxhash64(root)).alias("label")
         )
     )
+
+    def ball(i: int) -> Column:
+        masks = F.array(*[F.lit(m).cast("long") for m in _ball(cuts[i][1], radii[i])])
+        # of a pair whose segments differ, the smaller segment alone looks for the larger one
+        looked_up = F.filter(masks, lambda m: values[i].bitwiseXOR(m) >= values[i])
+        return F.transform(looked_up, lambda m: _bucket(i, values[i].bitwiseXOR(m)))
+
     probes = labelled.select(
-        F.col("fp").alias("a"), F.col("label").alias("label_a"), F.explode(_masked(cuts, radii, held, keys)).alias("s")
-    ).select(
-        "a",
-        "label_a",
-        F.col("s.seg").alias("seg"),
-        F.col("s.own").bitwiseXOR(F.col("s.mask")).alias("key"),
-        F.col("s.mask").alias("mask"),
-    )
-    # of a pair whose segments differ, the smaller segment alone looks for the larger one
-    probes = probes.where(F.col("key") >= F.col("key").bitwiseXOR(F.col("mask")))
-    held_rows = labelled.select(
-        F.col("fp").alias("b"),
-        F.col("label").alias("label_b"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), keys[i].alias("key")) for i in held])).alias("t"),
-    ).select("b", "label_b", F.col("t.seg").alias("seg"), F.col("t.key").alias("key"))
-    near = (
-        (F.col("label_a") != F.col("label_b"))
-        & ((F.col("mask") != 0) | (F.col("a") < F.col("b")))
-        & (_distance("a", "b", words) <= distance)
+        *_words("p", words), F.col("label").alias("label_p"), F.explode(F.concat(*map(ball, held))).alias("key")
     )
+    rows = labelled.select(*_words("q", words), F.col("label").alias("label_q"), buckets.alias("key"))
     found = (
-        probes.alias("p")
-        .join(held_rows.alias("t"), (F.col("p.seg") == F.col("t.seg")) & (F.col("p.key") == F.col("t.key")) & near)
-        .select("a", "b")
+        probes.alias("x")
+        .join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("label_p") != F.col("label_q")) & near)
+        .select(F.array(*_names("p", words)).alias("a"), F.array(*_names("q", words)).alias("b"))
     )
     return stars.unionByName(found).distinct()
 
@@ -169,17 +171,6 @@ def _ball(width: int, radius: int) -> list[int]:
     return [sum(1 << i for i in chosen) for r in range(radius + 1) for chosen in combinations(range(width), r)]
 
 
-def _masked(cuts, radii, held, keys) -> Column:
-    """For each segment searched, its value with every mask of its ball."""
-    def ball(i: int) -> Column:
-        masks = F.array(*[F.lit(m).cast("long") for m in _ball(cuts[i][1], radii[i])])
-        return F.transform(
-            masks, lambda m: F.struct(F.lit(i).alias("seg"), m.alias("mask"), keys[i].alias("own"))
-        )
-
-    return F.concat(*map(ball, held))
-
-
 def near_groups(prints: DataFrame, distance: int, segments: int, words: int = 1, radii: list[int] | None = None) -> DataFrame:
     """``fp, root`` for every distinct fingerprint: the group's smallest fingerprint."""
     distinct = checkpoint(prints.select("fp").distinct())
