@@ -125,7 +125,7 @@ def fit(
     have a score; it sets the background's. Without a toxic or another text every score is 0.5.
     """
     texts = stored(texts, "toxicity-training")
-    counts = _token_counts(texts)
+    counts = stored(_token_counts(texts), "toxicity-counts")
     sizes = counts.agg(F.sum("y0").alias("n0"), F.sum("y1").alias("n1")).first()
     n0, n1 = sizes["n0"] or 0, sizes["n1"] or 0
     if not n0 or not n1:
