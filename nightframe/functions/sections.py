@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed value: the textual form of a section.
 SECTION_PATTERN = r"^\s*\[(\d+):(\d+),(\d+):(\d+)\]\s*$"
 
+# Names of a parsed section's parts.
 FIELDS = ("x_min", "x_max", "x_dir", "y_min", "y_max", "y_dir")
 
 

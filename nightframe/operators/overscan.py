@@ -38,7 +38,10 @@ def bias_pixels(pixels: DataFrame) -> DataFrame:
 
 
 def bias_lines(lines: DataFrame) -> DataFrame:
-    """The lines that hold bias pixels of any image of the exposure."""
+    """The lines that hold bias pixels of any image of the exposure.
+
+    On stored lines the filter reaches the scan; above the decoder of image files it can't.
+    """
     return lines.filter((F.col("x") >= F.col("bias_lo")) & (F.col("x") < F.col("bias_hi")))
 
 
@@ -242,6 +245,7 @@ def provenance(model: DataFrame, obstypes: DataFrame | None = None) -> DataFrame
         )
 
     one = F.lit(1.0)
+    # fixed values: header keys of the steps
     entries = F.array(
         entry("OEPARAM", F.col("slope"), 0),
         entry("OEPARAM", F.col("intercept"), 1),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nightframe.functions import sections as S
+from nightframe.operators import runlog
 
 # Sections of the derived detector images: 25 lines of 64 cells, the last 5 lines are bias
 # and the bias section is 4 cells shorter than the image.
@@ -332,7 +333,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "%s %s %2d %s UTC %d",
         F.date_format("ts", "EEE"), F.date_format("ts", "MMM"), F.day("ts"), F.date_format("ts", "HH:mm:ss"), F.year("ts"),
     )
-    marker = F.when(F.col("event_type") == "view", F.lit("shutter")).otherwise(F.lit("SNIFS_on"))
+    marker = F.when(F.col("event_type") == "view", F.lit("shutter")).otherwise(F.lit(runlog.EVENT_MARKER))
     channel = F.when(F.col("event_id") % 2 == 0, "B").otherwise("R")
     end = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.lit(" "))
     digit = (F.col("event_id") % 10).cast("string")

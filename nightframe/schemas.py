@@ -53,6 +53,7 @@ HEADER_CARDS = {
 # Fixed value: a flat below this size is a raster readout.
 RASTER_BELOW_MB = 8
 
+# Names and types of the stored tables' columns.
 CATALOG = _table(
     file_path=TEXT, file_name=TEXT, type=TEXT, object=TEXT, object_ra=TEXT, object_dec=TEXT,
     run_id=TEXT, observation_id=TEXT, num_extensions=INT, num_data_extensions=INT,
@@ -69,6 +70,7 @@ HEADER_ROWS = _table(
     value_double=DOUBLE, value_bool=FLAG, has_data=FLAG,
 )
 
+# Likewise.
 WEATHER_ROWS = _table(
     time=TIME, wind_speed=INT, wind_direction=INT, temperature=DOUBLE, relative_humidity=INT, pressure=DOUBLE,
 )
