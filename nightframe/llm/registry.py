@@ -84,8 +84,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), folder)
-    found = warc.captures(warc.read_records(spark, folder))
-    note = F.decode(F.col("metadata")[0]["payload"], "UTF-8")
+    # of equal rows, which are one capture, each has its metadata record
+    found = warc.captures(warc.read_records(spark, folder)).withColumn("page", F.explode("metadata"))
+    note = F.decode(F.col("page.payload"), "UTF-8")
     response = F.col("type") == "response"
     named = found.select(
         "record_id",
@@ -97,7 +98,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"),
     )
     named = stored(named, "captures")
-    first = named.where("record_type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"))
+    first = named.where("record_type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to")).distinct()
     return named.join(first, "refers", "left").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

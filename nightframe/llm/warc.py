@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm.common import checkpoint
+from nightframe.llm.common import checkpoint, stored
 
 _CRLF = "\r\n"
 #: Base 32 of RFC 4648.
@@ -62,30 +62,40 @@ def write(
 
     Of rows with equal payloads of at least ``min_revisit_bytes``, the one with the largest id is the response and the others
     revisit it. A null payload is empty, a null url an empty target. A row with a null id can't be named and is a
-    response of its own. An id names one capture: rows that repeat it are written as they are and meet in one
-    capture when read. Extra columns are ignored; an empty table makes no record. Payloads are text; files are gzipped
+    response. Id, url and payload name a capture, so rows that repeat an id are captures of their own. Equal rows meet
+    in one capture, which has a request and a metadata record for each of them. Extra columns are ignored; an empty table makes no record. Payloads are text; files are gzipped
     and hold few enough records to be read at once.
     """
     text = F.coalesce(F.col(payload), F.lit(""))
-    narrow = checkpoint(
-        pages.select(F.col(id).alias("id"), base32_sha1(text.cast("binary")).alias("digest"), F.octet_length(text).alias("bytes"))
-    )
+    place = F.md5(F.coalesce(F.concat(F.lit("url "), F.col(url)), F.lit("")))
+    facts = [
+        F.col(id).alias("id"), base32_sha1(text.cast("binary")).alias("digest"), F.octet_length(text).alias("bytes"),
+        place.alias("place"),
+    ]
+    narrow = checkpoint(pages.select(*facts))
     chosen = (
         narrow.where((F.col("bytes") >= min_revisit_bytes) & F.col("id").isNotNull())
-        .groupBy("digest", "bytes").agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        .groupBy("digest", "bytes").agg(F.max(F.struct("id", "place")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1").drop("n")
     )
-    roles = narrow.join(chosen, ["digest", "bytes"]).where("id != first").select("id", F.col("first").alias("refers_to"))
+    roles = narrow.join(chosen, ["digest", "bytes"]).where("id != first.id").select("id", "digest", "bytes", "first").distinct()
+    roles = stored(roles, "warc-roles")  # of a known size: where there are few, the payloads aren't shuffled for them
     rows = (
-        pages.select(F.col(id).alias("id"), F.col(url).alias("url"), text.alias("payload"))
-        .join(roles.distinct(), "id", "left")
+        pages.select(*facts, F.col(url).alias("url"), text.alias("payload"))
+        .join(roles, ["id", "digest", "bytes"], "left")
     )
-    key = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("null "), F.xxhash64("url", "payload").cast("string")))
-    digest = F.concat(F.lit("sha1:"), base32_sha1(F.col("payload").cast("binary")))
-    response, first = _uuid("response", key), _uuid("response", F.col("refers_to").cast("string"))
+
+    def capture(id: Column, place: Column) -> Column:
+        named = F.coalesce(F.concat(F.lit("id "), id.cast("string")), F.lit("null"))
+        return F.concat_ws(" ", named, F.col("digest"), F.col("bytes").cast("string"), place)
+
+    key = capture(F.col("id"), F.col("place"))
+    digest = F.concat(F.lit("sha1:"), F.col("digest"))
+    response, first = _uuid("response", key), _uuid("response", capture(F.col("first.id"), F.col("first.place")))
     target = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\r\n]", "")
     common = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", target)]
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{_CRLF}Content-Type: text/html; charset=utf-8{_CRLF * 2}"))
-    revisit = F.col("refers_to").isNotNull()
+    revisit = F.col("first").isNotNull()
     body = F.when(revisit, http).otherwise(F.concat(http, F.col("payload")))
     rules = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
     answer = _record(
@@ -112,7 +122,7 @@ def write(
     )
     note = F.concat(
         F.lit("id: "), F.coalesce(F.col("id").cast("string"), F.lit("")),
-        F.lit(f"{_CRLF}payload-bytes: "), F.octet_length("payload").cast("string"), F.lit(_CRLF),
+        F.lit(f"{_CRLF}payload-bytes: "), F.col("bytes").cast("string"), F.lit(_CRLF),
     )
     metadata = _record(
         [

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,28 @@ def test_null_and_repeated_ids_and_empty_table(round_trip, spark, tmp_path):
     assert W.captures(W.read_records(spark, str(tmp_path / "none"))).count() == 0
 
 
+def test_rows_that_repeat_an_id_keep_their_payloads(round_trip):
+    _, found = round_trip([(5, "u", "a"), (5, "u", "b"), (9, "u", "a"), (5, "v", "b"), (None, "u", "a")])
+    got = sorted((r["target"], r["type"], bytes(r["payload"])) for r in found)
+    assert got == [("u", "response", b"a")] * 2 + [("u", "response", b"b"), ("u", "revisit", b""), ("v", "response", b"b")]
+    (revisit,) = [r for r in found if r["type"] == "revisit"]
+    (first,) = [r for r in found if r["record_id"] == revisit["refers_to"]]
+    assert bytes(first["payload"]) == b"a" and bytes(first["metadata"][0]["payload"]).startswith(b"id: 9\r\n")
+
+
+def test_query_on_repeated_and_null_ids_is_its_sql(spark, tmp_path):
+    rows = [(5, "u", "a"), (5, "u", "b"), (9, "u", "a"), (9, "v", "a"), (9, "v", "a"), (5, "u", "b"), (7, "u", None), (7, "u", "")]
+    rows += [(None, "u", "a"), (None, "u", "a"), (None, "v", "c"), (8, None, "c"), (3, "u", "c"), (3, "u", "c")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(R.ORACLE["op8_warc"]).fetchall()
+    got = [tuple(r) for r in R.op8_warc(spark, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert len(got) == len(rows)
+
+
 def test_foreign_archives(spark, tmp_path):
     def record(kind, id, block, *fields):
         head = [b"WARC/1.0", b"WARC-Type: " + kind, b"WARC-Record-ID: " + id, *fields, b"Content-Length: %d" % len(block)]
