@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm import mixing, packing, quality_classifier, quality_rules, search, secrets, simhash, toxicity, urls, warc
+from nightframe.llm import manifest, mixing, packing, quality_classifier, quality_rules, search, secrets, simhash, toxicity, urls, warc, whitening
 from nightframe.llm.common import new_path, stored, table
 from nightframe.llm.labelled import remainder
 
@@ -131,6 +131,21 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.build_index(blocked), URL_RULES)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fields = [lower if f == "text" else F.col(f) for f in manifest.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = manifest.manifest(docs, claimed=F.when(tampered, manifest.leaf_of(*fields)))
+    return found.drop("source")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = whitening.whiten(vectors, whitening.fit(vectors))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -142,6 +157,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secrets": op9_secrets,
     "op10_urls": op10_urls,
+    "op11_manifest": op11_manifest,
+    "op12_whitening": op12_whitening,
 }
 
 
