@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightframe.llm import manifest, mixing, packing, quality_classifier, quality_rules, search, secrets, simhash, toxicity, urls, warc, whitening
+from nightframe.llm import manifest, mixing, packing, quality_classifier, quality_rules, search, secrets, simhash, token_counts, toxicity, urls, warc, whitening
 from nightframe.llm.common import new_path, stored, table
 from nightframe.llm.labelled import remainder
 
@@ -146,6 +146,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own for each call; a job names one that lasts
+    cache = new_path(spark, "token-cache")
+    found = token_counts.count_tokens(table(spark, sf_dir, "documents"), cache, "piece_bpe_32k.model")
+    return found.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_rules": op2_quality_rules,
@@ -159,6 +166,7 @@ QUERIES = {
     "op10_urls": op10_urls,
     "op11_manifest": op11_manifest,
     "op12_whitening": op12_whitening,
+    "op13_token_counts": op13_token_counts,
 }
 
 
