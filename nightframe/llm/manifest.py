@@ -398,14 +398,18 @@ def _descend(arrays: DataFrame, above: DataFrame, stage: int) -> DataFrame:
     return joined.mapInArrow(run, "tree string, block long, above array<string>")
 
 
-def _paths(arrays: list[DataFrame], tops: DataFrame) -> DataFrame:
-    """``tree, block, above`` of the lowest arrays: left and right siblings of their tops up to those in ``tops``, which are ``tree, above``."""
-    tops = tops.withColumn("block", F.lit(0).cast("long")).select("tree", "block", "above")
+def _paths(arrays: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
+    """``tree, block, above`` of the lowest arrays: left and right siblings from their tops up to those in ``tops``, which are ``tree, above``.
+
+    Without ``tops`` nothing is above the trees.
+    """
     above = None
     for stage in range(len(arrays) - 1, -1, -1):
         reach = SLOTS ** (stage + 1)
         ends = (F.col("size") <= reach) & ((F.col("size") > reach // SLOTS) if stage else F.lit(True))
-        here = arrays[stage].where(ends).select("tree").distinct().join(tops, "tree").select("tree", "block", "above")
+        here = arrays[stage].where(ends).select("tree").distinct()
+        here = here.join(tops, "tree") if tops is not None else here.withColumn("above", F.array().cast("array<string>"))
+        here = here.select("tree", F.lit(0).cast("long").alias("block"), "above")
         above = here if above is None else above.unionByName(here)
         if stage:
             above = stored(_descend(arrays[stage], above, stage), f"manifest-paths-{stage}")
@@ -485,8 +489,7 @@ def manifest(
     )
     root_arrays, root_node = _stages(of_roots)
     root = root_node.first()
-    top = docs.sparkSession.range(1).select(F.lit("all").alias("tree"), F.array().cast("array<string>").alias("above"))
-    under_root = _descend(root_arrays[0], _paths(root_arrays, top), 0)
+    under_root = _descend(root_arrays[0], _paths(root_arrays), 0)
     tops = stored(
         numbered.join(under_root.select(F.col("block").alias("place"), "above"), "place").select("tree", "node", "above"),
         "manifest-tops",

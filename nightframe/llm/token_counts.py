@@ -181,11 +181,10 @@ def count_tokens(docs: DataFrame, cache: str, file: str, id: str = "doc_id", tex
         few = misses * 32 <= SENT_BYTES
         if few:
             texts = texts.join(F.broadcast(missing), "content", "left_semi")
-        packed = texts.mapInArrow(_first_of_task, "content binary, packed binary, size long")
+        # all texts of a digest in one task, which encodes the first
+        packed = texts.mapInArrow(_first_of_task, "content binary, packed binary, size long").repartition("content")
         if not few:
             packed = packed.join(missing, "content", "left_semi")
-        else:  # all texts of a digest in one task, which encodes the first; the other join has brought them together
-            packed = packed.repartition("content")
         packed.mapInArrow(_counts(file), _CACHE).write.parquet(f"{folder}/{uuid.uuid4().hex}")
     found = digests.join(cached(spark, cache, model.version), "content")
     return found.select(F.col("id").alias(id), "n_bytes", "n_tokens")
