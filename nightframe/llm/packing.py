@@ -29,8 +29,8 @@ _ENCODERS: dict[tuple[str, str], object] = {}
 
 
 def _encoder(ranks_file: str, model_file: str):
-    """A function from text to ids. The rank file holds the model's vocabulary and is encoded faster; a text that
-    its library can't take goes to the model itself."""
+    """A function from text to ids as the model gives them. The rank file holds the same vocabulary and is encoded faster; a text with a
+    string that the model takes for a token of its own, or one that the rank file's library can't take, goes to the model itself."""
     key = (ranks_file, model_file)
     if key not in _ENCODERS:
         import public_tokenizers
@@ -42,14 +42,16 @@ def _encoder(ranks_file: str, model_file: str):
         fast = tiktoken.Encoding(
             ranks_file, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        model = Tokenizer.from_file(public_tokenizers.path(model_file))
+        added = [t.content for t in model.get_added_tokens_decoder().values()]
 
         def encode(text: str) -> list[int]:
-            try:
-                return fast.encode_ordinary(text)
-            except Exception:  # its pattern engine gives up on some very long runs
-                slow = Tokenizer.from_file(public_tokenizers.path(model_file))
-                slow.encode_special_tokens = True
-                return slow.encode(text, add_special_tokens=False).ids
+            if not any(t in text for t in added):
+                try:
+                    return fast.encode_ordinary(text)
+                except Exception:  # its pattern engine gives up on some very long runs
+                    pass
+            return model.encode(text, add_special_tokens=False).ids
 
         _ENCODERS[key] = encode
     return _ENCODERS[key]

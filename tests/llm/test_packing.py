@@ -14,13 +14,11 @@ from nightframe.llm.common import stored
 
 @pytest.fixture(scope="module")
 def model():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 TEXTS = [
-    "Short one.", "", None, "<|endoftext|> is text here", "Zwölf Boxkämpfer — 日本語 🎉 ñandú",
+    "Short one.", "", None, "a <|endoftext|> b", "<|endoftext|>" * 700, "<|endoftext|", "Zwölf Boxkämpfer — 日本語 🎉 ñandú",
     "word " * 3000, "a" * 5000, " \n\t" * 900, "mixed 123 " * 211, "x", "x",
 ]
 
