@@ -86,9 +86,13 @@ def mix(
     lang: str = "lang",
     source: str = "source",
     max_sent_leaves: int = 100_000,
+    prefix: str = "mix_",
 ) -> DataFrame:
     """The chosen rows of ``docs`` with ``mix_epoch``, ``mix_tokens`` and ``mix_budget`` (of the row's leaf).
 
+    These three begin with ``prefix``; columns of ``docs`` that have their names are left out, all others are kept, whatever their names.
+    An empty table, or one without words, has no rows. Texts of any length are counted whole.
+
     A leaf takes its whole epochs first; of the last one it takes the longest prefix of documents, in the order of the md5 of
     seed, epoch and id, that doesn't exceed the budget. Null ids, languages and sources count as the empty string;
     a text without words costs nothing and goes with its place in the order. Of rows with one id in a leaf, all go
@@ -98,10 +102,10 @@ def mix(
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     key = {"domain": "__nf_domain", "lang": "__nf_lang", "source": "__nf_source"}
     rows = docs.withColumns(
-        {key["lang"]: name(lang), key["source"]: name(source), "__nf_id": name(id), "mix_tokens": words(F.col(text)),
+        {key["lang"]: name(lang), key["source"]: name(source), "__nf_id": name(id), "__nf_tokens": words(F.col(text)),
          key["domain"]: F.coalesce(domain.cast("string"), F.lit(""))}
     )
-    narrow = checkpoint(rows.select(*[F.col(v).alias(k) for k, v in key.items()], F.col("__nf_id").alias("id"), F.col("mix_tokens").alias("tokens")))
+    narrow = checkpoint(rows.select(*[F.col(v).alias(k) for k, v in key.items()], F.col("__nf_id").alias("id"), F.col("__nf_tokens").alias("tokens")))
     supply = narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
     shared = checkpoint(budgets(supply, weights, budget_percent, max_epochs))
     leaf = list(LEVELS)
@@ -126,13 +130,16 @@ def mix(
     over = per_id.withColumn("through", F.col("before") + F.sum("n").over(running)).where("through > rest")
     ends = over.groupBy(*leaf).agg(F.min("place").alias("cut"))  # the first that doesn't fit
     cuts = plans.join(ends, leaf, "left").select(
-        *[F.col(k).alias(f"__nf_cut_{k}") for k in leaf], "whole", "rest", "cut", F.col("budget").alias("mix_budget")
+        *[F.col(k).alias(f"__nf_cut_{k}") for k in (*leaf, "whole", "rest", "cut", "budget")]
     )
     # one row per leaf: sent to every task if the tree is small, shuffled with the documents if it isn't
     cuts = F.broadcast(cuts) if shared.count() <= max_sent_leaves else cuts
     joined = rows.join(cuts, reduce(lambda a, b: a & b, [F.col(v) == F.col(f"__nf_cut_{k}") for k, v in key.items()]))
-    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("__nf_id")))
-    partly = (F.col("rest") > 0) & (F.col("cut").isNull() | (place < F.col("cut")))
-    taken = F.col("whole") + F.when(partly, 1).otherwise(0)
-    out = joined.where(taken > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), taken.cast("int") - 1)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "mix_epoch", "mix_tokens", "mix_budget")
+    whole, rest, cut = (F.col(f"__nf_cut_{k}") for k in ("whole", "rest", "cut"))
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), whole.cast("string"), F.col("__nf_id")))
+    partly = (rest > 0) & (cut.isNull() | (place < cut))
+    taken = whole + F.when(partly, 1).otherwise(0)
+    out = joined.where(taken > 0).withColumn("__nf_epoch", F.explode(F.sequence(F.lit(0), taken.cast("int") - 1)))
+    made = {f"{prefix}epoch": "__nf_epoch", f"{prefix}tokens": "__nf_tokens", f"{prefix}budget": "__nf_cut_budget"}
+    kept = [c for c in docs.columns if c.lower() not in {m.lower() for m in made}]
+    return out.select(*[F.col(f"`{c}`") for c in kept], *[F.col(v).alias(k) for k, v in made.items()])

@@ -104,3 +104,16 @@ def test_empty_table_and_extra_columns(spark, docs_of):
     assert M.mix(docs_of(), none, F.lit("d")).count() == 0
     docs = docs_of("a b c", "d e f", extra=True)
     assert M.mix(docs, none, F.lit(None).cast("string"), 100, 1).count() == 2
+
+
+def test_columns_of_any_name(spark, docs_of):
+    none = spark.createDataFrame([], "level string, name string, weight int")
+    names = "rest whole cut budget place range tokens through before domain supply above weight mix_tokens MIX_budget id order".split()
+    docs = docs_of("a b c", "d e f").select("*", *[F.lit(n).alias(n) for n in names])
+    got = M.mix(docs, none, F.lit("d"), 100, 1)
+    kept = [c for c in docs.columns if c not in ("mix_tokens", "MIX_budget")]
+    assert got.columns == [*kept, "mix_epoch", "mix_tokens", "mix_budget"]
+    rows = got.collect()
+    assert len(rows) == 2 and all(r[n] == n for r in rows for n in names if n in kept) and {r["mix_tokens"] for r in rows} == {3}
+    assert M.mix(docs, none, F.lit("d"), 100, 1, prefix="x_").columns == [*docs.columns, "x_epoch", "x_tokens", "x_budget"]
+    assert M.mix(docs_of("w " * 2_000_000), none, F.lit("d"), 100, 1).first()["mix_tokens"] == 2_000_000
