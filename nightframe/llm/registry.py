@@ -91,7 +91,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = found.select(
         "record_id",
         F.col("refers_to").alias("refers"),
-        F.regexp_extract(note, r"(?m)^id: (\d+)", 1).try_cast("long").alias("page_id"),
+        F.regexp_extract(note, r"(?m)^id: (-?\d+)", 1).try_cast("long").alias("page_id"),
         F.when(response, F.length("payload").cast("long"))
         .otherwise(F.regexp_extract(note, r"(?m)^payload-bytes: (\d+)", 1).try_cast("long")).alias("payload_bytes"),
         F.when(response, warc.base32_sha1(F.col("payload"))).otherwise(F.substring_index("digest", ":", -1)).alias("payload_digest"),

@@ -141,22 +141,20 @@ def write(
 # ---- reading
 
 
-def _inflated(data: bytes) -> Iterator[bytes]:
-    """The content in chunks: gzip members one after the other, or plain."""
+def _inflated(data: bytes, step: int = 1 << 14) -> Iterator[bytes]:
+    """The content in chunks: gzip members one after the other, or plain. What follows a member is not copied."""
     if data[:2] != b"\x1f\x8b":
         yield data
         return
-    while data:
+    view, at = memoryview(data), 0
+    while view[at : at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        view, step = data, 1 << 20
-        at = 0
         while at < len(view) and not member.eof:
-            yield member.decompress(view[at : at + step])
-            at += step
+            part = view[at : at + step]
+            yield member.decompress(part)
+            at += len(part)
         yield member.flush()
-        data = member.unused_data + view[at:]
-        if data[:2] != b"\x1f\x8b":
-            return
+        at -= len(member.unused_data)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -111,3 +111,23 @@ def test_query_is_every_page(spark, sf):
     rows = R.op8_warc(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/pages.parquet").count()
     assert all(r["refers_to"] > r["page_id"] for r in rows if r["record_type"] == "revisit")
+
+
+def test_reading_takes_time_as_the_members_do():
+    import time
+
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    took = []
+    for n in (5_000, 50_000):
+        data = gzip.compress(record) * n
+        began = time.time()
+        assert sum(1 for _ in W.parse_records(data)) == n
+        took.append(time.time() - began)
+    assert took[1] < 20 * took[0] + 1
+
+
+def test_negative_ids_and_columns_of_any_name(spark, tmp_path):
+    pages = spark.createDataFrame([(-5, "u", "a", "x"), (3, "u", "b" * 3_000_000, "x")], "page_id long, url string, html string, id string")
+    pages = pages.select("*", *[F.lit("z").alias(c) for c in "digest bytes place first payload value record_id".split()])
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted((r["page_id"], r["payload_bytes"]) for r in R.op8_warc(spark, str(tmp_path)).collect()) == [(-5, 1), (3, 3_000_000)]
