@@ -30,7 +30,7 @@ from nightframe.sources.sinks import exists
 #: What a sentencepiece model writes for a space. Fixed by the format.
 SPACE_MARK = "▁"
 #: Missing digests of this size at most are sent to every task.
-SENT_BYTES = 8 << 20
+SENT_BYTES = 1 << 20
 #: Words whose counts a task keeps, and digests it remembers; longer words are counted each time.
 WORDS = 1 << 19
 WORD_LENGTH = 64
