@@ -72,6 +72,6 @@ def test_registry():
     from nightframe.llm import registry as R
 
     names = [q.split("_")[0] for q in R.QUERIES]
-    assert names == [f"op{n}" for n in range(1, 11)]
+    assert names == [f"op{n}" for n in range(1, 14)]
     assert set(R.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(R.ORACLE) <= set(entry.oracle_sql())

@@ -119,6 +119,57 @@ def test_near_copies_go_and_others_stay(spark, docs_of):
     assert kept == set(range(40))
 
 
+def edited(rng, words, text, share):
+    """The text with runs of words replaced until about ``share`` of its five-word shingles are new."""
+    parts = text.split()
+    for at in rng.sample(range(0, len(parts) - 1), max(1, int(share * len(parts) / 5))):
+        parts[at] = rng.choice(words) + "x"
+    return " ".join(parts)
+
+
+def test_dedup_is_brute_forces(spark, docs_of):
+    """Every dropped text has a kept one's group by true similarity, and hardly any pair is missed."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    texts = []
+    for _ in range(60):
+        base = " ".join(rng.choices(words, k=rng.choice([30, 120, 400])))
+        texts += [base] + [edited(rng, words, base, rng.uniform(0.0, 0.25)) for _ in range(4)]
+    texts += ["", None, "a b", "a  B", "one two three four", *[texts[0]] * 30, "long " * 100_000, "Long " * 100_000]
+    sets = [S.shingles((t or "").encode(), 5) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if S.jaccard(sets[i], sets[j]) >= 0.8]
+    for i, j in pairs:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    groups = {i: find(i) for i in range(len(texts))}
+    names = "fp a b key label text_a text_b row_1 row_2 first root n last __text".split()
+    docs = docs_of(*texts).select("*", *[F.lit("x").alias(n) for n in names])
+    kept = {r["doc_id"] for r in S.drop_near_duplicates(docs).collect()}
+    assert set(groups.values()) <= kept  # the first of each group stays
+    due = len(texts) - len(set(groups.values()))
+    assert len(texts) - len(kept) >= 0.97 * due and due > 100
+
+
+def test_search_plan_finds_pairs_at_the_limit():
+    """Of random bit strings that differ as texts at 0.8 do, nearly all agree within a bit in some segment."""
+    rng = np.random.default_rng(4)
+    for n in (1000, 1 << 23):
+        words, segments, distance = S.search_plan(n, 0.8)
+        part = np.arccos(1.6 / 1.8) / np.pi
+        flips = rng.random((4000, 64 * words)) < part
+        found = np.zeros(4000, bool)
+        for at, width in S.segment_bits(64 * words, segments):
+            found |= flips[:, at : at + width].sum(axis=1) <= 1
+        assert (found & (flips.sum(axis=1) <= distance)).mean() > 0.97
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3)]
     roots = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
