@@ -265,4 +265,66 @@ FROM h
 """
 
 
-ORACLE: dict[str, str] = {"op6_mixing": _OP6, "op8_warc": _OP8, "op10_urls": _url_sql()}
+def _manifest_sql(levels: int = 6, root_levels: int = 4) -> str:
+    """The manifest level by level, up to 16**levels leaves a source. A node's siblings are its run's text without its own 64 letters."""
+
+    def enc(value: str) -> str:
+        text = f"{value}::VARCHAR"
+        return f"coalesce(octet_length(encode({text}))::VARCHAR || ':' || {text}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(enc(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, key: str, first: str, n: int) -> str:
+        """``name_k(key, pos, node, n, run)`` of every level: a tree's ``n`` nodes with the text of the run that holds each."""
+        run = f"string_agg(node, '' ORDER BY pos) OVER (PARTITION BY {key}, pos // 16)"
+        parts = [f"{name}_0 AS (SELECT *, CASE WHEN n > 1 THEN {run} END AS run FROM ({first}))"]
+        for k in range(1, n + 1):
+            up = f"""SELECT {key}, pos // 16 AS pos, any_value(CASE WHEN n > 1 THEN sha256(run) ELSE node END) AS node, any_value((n + 15) // 16) AS n
+              FROM {name}_{k - 1} GROUP BY {key}, pos // 16"""
+            parts.append(f"{name}_{k} AS (SELECT *, CASE WHEN n > 1 THEN {run} END AS run FROM ({up}))")
+        return ",\n".join(parts)
+
+    def path(tree: str, key: str, pos: str, n: int) -> tuple[str, list[tuple[str, str]]]:
+        """Joins with each level, and the texts left and right of the node in it; null above the top."""
+        joins, sides = "", []
+        for k in range(n):
+            t, place = f"{tree}{k}", f"({pos} // {16**k})"
+            joins += f"\n JOIN {tree}_{k} {t} ON {t}.{key} = p.{key} AND {t}.pos = {place}"
+            sides.append((f"substr({t}.run, 1, 64 * ({place} % 16)::INT)", f"substr({t}.run, 64 * ({place} % 16)::INT + 65)"))
+        return joins, sides
+
+    joins, sides = path("s", "k", "p.pos", levels)
+    root_joins, root_sides = path("r", "all_k", "p.root_at", root_levels)
+    both = sides + root_sides
+    proof = " || ".join(f"coalesce({a} || {b}, '')" for a, b in both)
+    names = ", ".join(f"{a} AS l{i}, {b} AS r{i}" for i, (a, b) in enumerate(both))
+    folds = "f0 AS (SELECT *, coalesce(tampered, leaf) AS h0 FROM named)"
+    for i in range(len(both)):
+        folds += f",\nf{i + 1} AS (SELECT *, CASE WHEN l{i} IS NULL THEN h{i} ELSE sha256(l{i} || h{i} || r{i}) END AS h{i + 1} FROM f{i})"
+    top = f"h{len(both)}"
+    bit = "CASE WHEN b % 2 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END"
+    crc = f"""xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+      lambda a, c: list_reduce([xor(a, c)] || range(8), lambda b, i: {bit})))"""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaves = "SELECT k, pos, leaf AS node, count(*) OVER (PARTITION BY k) AS n FROM placed"
+    roots = f"SELECT 1 AS all_k, row_number() OVER (ORDER BY k) - 1 AS pos, k, node, count(*) OVER () AS n FROM s_{levels}"
+    return f"""
+WITH placed AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (SELECT doc_id, coalesce('=' || source, '-') AS k, {leaf("text")} AS leaf,
+               CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} END AS tampered FROM documents)),
+{tree("s", "k", leaves, levels)},
+tops AS ({roots}),
+{tree("r", "all_k", "SELECT all_k, pos, node, n FROM tops", root_levels)},
+p AS (SELECT placed.*, tops.node AS subroot, tops.pos AS root_at, 1 AS all_k FROM placed JOIN tops USING (k)),
+named AS (
+  SELECT p.doc_id, p.leaf, p.tampered, p.subroot, (SELECT node FROM r_{root_levels}) AS root,
+         sha256({proof}) AS proof_sha256, {names}
+  FROM p {joins} {root_joins}),
+{folds}
+SELECT doc_id, leaf, subroot, root, proof_sha256, {top} AS folded_root, {top} = root AS verified FROM f{len(both)}
+"""
+
+
+ORACLE: dict[str, str] = {"op6_mixing": _OP6, "op8_warc": _OP8, "op10_urls": _url_sql(), "op11_manifest": _manifest_sql()}
