@@ -108,6 +108,19 @@ def merge_maps(first: Column, second: Column) -> Column:
     return F.map_zip_with(first, second, lambda k, a, b: F.coalesce(b, a))
 
 
+def merge_all_maps(maps: DataFrame, by: str = "exposure_id", order: str = "image_no", header: str = "header") -> DataFrame:
+    """The header maps of each group merged in their order, as by :func:`merge_maps` one after the other.
+
+    A group's maps never meet in one row: the last value of every key is found by a partial aggregation, and only
+    one card for each key is put into the result.
+    """
+    cards = maps.select(by, F.col(order).alias("_order"), F.explode(header).alias("key", "_value"))
+    # of the values that aren't null the last one; a key that has none stays, without a value
+    last = F.expr("max_by(_value, _order) FILTER (WHERE _value IS NOT NULL)")
+    merged = cards.groupBy(by, "key").agg(last.alias("value"))
+    return merged.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias(header))
+
+
 # Numbered cards of a one-image file and the card each becomes after the split.
 SPLIT_PATTERN = r"^(CCDSEC|AMPSEC|DETSEC|CCDBIN)([01])$"
 SPLIT_GAIN_PATTERN = r"^CCD([01])GAIN$"

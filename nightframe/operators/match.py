@@ -69,11 +69,13 @@ def members(file_type: str, catalog: DataFrame) -> DataFrame:
     return files.select(*rule.keys, F.col("file_path").alias("match_path"))
 
 
-def set_summary(file_type: str, catalog: DataFrame) -> DataFrame:
-    """Per match set its size and its first member in path order."""
+def set_summary(file_type: str, catalog: DataFrame, salted: bool = False) -> DataFrame:
+    """Per match set its size and its first member in path order; ``salted`` adds ``_salt``, 0."""
     rule = registry.rule(file_type)
+    # an aggregate, as a literal would be moved out of the join's keys
+    salt = [F.min(F.lit(0).cast("long")).alias("_salt")] if salted else []
     return members(file_type, catalog).groupBy(*rule.keys).agg(
-        F.count("*").alias("n_matches"), F.min("match_path").alias("match_path")
+        F.count("*").alias("n_matches"), F.min("match_path").alias("match_path"), *salt
     )
 
 
@@ -86,7 +88,7 @@ def first_match(
     global rule needs no join at all: its single summary row is a scalar subquery.
     """
     rule = registry.rule(file_type)
-    summary = None if rule.pairs else set_summary(file_type, catalog)
+    summary = None if rule.pairs else set_summary(file_type, catalog, salted=bool(rule.keys))
     if rule.pairs:
         chosen = all_matches(file_type, primaries, catalog).groupBy("file_path").agg(
             F.count("*").alias("n_matches"), F.min("match_path").alias("match_path")
@@ -100,10 +102,10 @@ def first_match(
             }
         )
     else:
-        # a null key matches nothing; kept out of the join, such primaries don't meet in one task
+        # a null key matches nothing: a salt spreads such primaries over the tasks of the one join
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
-        found = primaries.filter(known).join(summary, list(rule.keys), "left")
-        found = found.unionByName(primaries.filter(~known), allowMissingColumns=True)
+        salt = F.when(known, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("file_path"), F.lit(1 << 20)))
+        found = primaries.withColumn("_salt", salt.cast("long")).join(summary, [*rule.keys, "_salt"], "left").drop("_salt")
     found = found.withColumn("n_matches", F.coalesce("n_matches", F.lit(0)))
     if strict:
         message = F.concat(

@@ -69,10 +69,9 @@ def catalog_refresh(spark, sf):
 
 
 def catalog_upsert(spark, sf):
-    """Single entries added to or replacing those of the catalogue."""
+    """Every entry of the newer half, added to or replacing those of the catalogue."""
     old, new = _halves(spark, sf)
-    changed = C.latest(new, order=("time_added",)).filter(F.col("size_mb") % 5 == 0)
-    return C.upsert(C.latest(old, order=("time_added",)), changed)
+    return C.upsert(C.latest(old, order=("time_added",)), C.latest(new, order=("time_added",)))
 
 
 def catalog_prune_deleted(spark, sf):
@@ -375,7 +374,7 @@ UNION ALL SELECT file_path, unnest(['given/a.fits', 'given/b.fits']) FROM catalo
     ),
     "catalog_upsert": _q(
         V.CATALOG_SQL, _HALVES,
-        f"""upserted AS (SELECT * FROM (SELECT 0 AS k, * FROM old UNION ALL SELECT 1 AS k, * FROM new WHERE size_mb % 5 = 0)
+        f"""upserted AS (SELECT * FROM (SELECT 0 AS k, * FROM old UNION ALL SELECT 1 AS k, * FROM new)
            QUALIFY row_number() OVER (PARTITION BY file_path ORDER BY time_added DESC, k DESC) = 1)""",
         select=f"SELECT {_COLS} FROM upserted",
     ),

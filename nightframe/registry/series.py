@@ -105,12 +105,8 @@ def header_merge_last(spark, sf):
 
 def header_merge_maps(spark, sf):
     """The header maps of all images of an exposure, merged in their order."""
-    m = H.as_maps(V.headers(spark, sf))
-    images = F.array_sort(F.collect_list(F.struct("image_no", F.map_entries("header").alias("cards"))))
-    empty = F.create_map().cast("map<string,string>")
-    merged = F.aggregate("images", empty, lambda a, i: H.merge_maps(a, F.map_from_entries(i["cards"])))
-    m = m.groupBy("exposure_id").agg(images.alias("images")).select("exposure_id", merged.alias("h"))
-    return m.select("exposure_id", F.explode("h").alias("key", "value"))
+    merged = H.merge_all_maps(H.as_maps(V.headers(spark, sf)))
+    return merged.select("exposure_id", F.explode("header").alias("key", "value"))
 
 
 def header_defaults(spark, sf):
@@ -138,8 +134,9 @@ def header_get_str(spark, sf):
 
 
 def split_header(spark, sf):
-    """One-image headers made from the cards: each exposure's cards become those of two amplifiers."""
-    h = V.headers(spark, sf).filter("image_no = 0").withColumn("file_path", F.concat(F.lit("f"), F.col("exposure_id")))
+    """One-image files made from the cards of every image: each becomes the headers of two amplifiers."""
+    name = F.concat_ws("_", F.concat(F.lit("f"), F.col("exposure_id")), F.col("image_no").cast("string"))
+    h = V.headers(spark, sf).withColumn("file_path", name)
     names = {"CLICK": "CCD0GAIN", "ERROR": "CCD1GAIN", "PURCHASE": "CCDSEC0", "SIGNUP": "DETTEMP"}
     renamed = h.replace(names, subset=["key"]).select("file_path", "key", *H.VALUE_COLUMNS)
     sections = {"DATASEC0": "[1:20,1:64]", "DATASEC1": "[45:26,1:64]", "BIASSEC0": "[21:25,1:60]", "BIASSEC1": "[46:50,1:60]"}
@@ -256,9 +253,9 @@ LEFT JOIN (SELECT * FROM headers WHERE key = '{key}' AND vtype = '{kind}') h USI
     "split_header": _q(
         V.HEADERS_SQL,
         """cards AS (
-  SELECT 'f' || exposure_id AS file_path, CASE key WHEN 'CLICK' THEN 'CCD0GAIN' WHEN 'ERROR' THEN 'CCD1GAIN'
+  SELECT 'f' || exposure_id || '_' || image_no AS file_path, CASE key WHEN 'CLICK' THEN 'CCD0GAIN' WHEN 'ERROR' THEN 'CCD1GAIN'
     WHEN 'PURCHASE' THEN 'CCDSEC0' WHEN 'SIGNUP' THEN 'DETTEMP' ELSE key END AS key, vtype, value_str, value_double, value_bool
-  FROM headers WHERE image_no = 0),
+  FROM headers),
 sections AS (SELECT file_path, k AS key, v AS value_str FROM (SELECT DISTINCT file_path FROM cards),
   (VALUES ('DATASEC0', '[1:20,1:64]'), ('DATASEC1', '[45:26,1:64]'), ('BIASSEC0', '[21:25,1:60]'), ('BIASSEC1', '[46:50,1:60]')) AS s(k, v)),
 amps AS (SELECT unnest([0, 1])::INTEGER AS amp)""",

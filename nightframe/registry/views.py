@@ -209,10 +209,9 @@ TYPES = ("OBJECT", "ARC", "FLAT", "RAW_LOGS", "WEATHER", "BINARY_OFFSET_MODEL")
 
 
 def catalog_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several versions per file, some without type, some deleted since."""
+    """Versions of files, 25 each, some without type, some deleted since. The files grow with the events."""
     e = table(spark, sf_dir, "events")
-    f = F.col("event_id") % 4000
-    e = e.withColumn("f", f)
+    e = e.withColumn("f", F.expr("event_id div 25"))
     e = e.withColumns(
         {
             "type": F.when(F.col("f") % 13 != 0, F.get(F.array(*map(F.lit, TYPES)), (F.col("f") % 6).cast("int"))),
@@ -243,7 +242,7 @@ entries AS (
     CASE (f // 6) % 2 WHEN 0 THEN 'B' ELSE 'R' END AS channel,
     CASE WHEN f % 11 = 0 THEN NULL ELSE 'obj' || (f // 12) % 5 END AS object,
     CAST(f // 120 AS VARCHAR) AS run_id
-  FROM (SELECT *, event_id % 4000 AS f FROM events))
+  FROM (SELECT *, event_id // 25 AS f FROM events))
 ),
 listing AS (SELECT DISTINCT file_path FROM entries WHERE f % 7 <> 0),
 latest AS (
