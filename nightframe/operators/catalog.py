@@ -234,3 +234,28 @@ def upsert(catalog: DataFrame, changed: DataFrame) -> DataFrame:
 def differs(old: DataFrame, new: DataFrame) -> bool:
     """Whether two catalogues differ in content; moves two fingerprint rows to the driver."""
     return old.transform(fingerprint).first() != new.select(*[c for c in old.columns if c in new.columns]).transform(fingerprint).first()
+
+
+def moved_fingerprint(known: dict, removed: DataFrame, added: DataFrame) -> dict:
+    """The fingerprint of a catalogue after rows are removed and added, from the ``known`` one and these rows alone.
+
+    Sums and xor can be undone, so nothing else of the catalogue is read.
+    """
+    now = {k: int(v) for k, v in known.items()}
+    for rows, sign in ((removed, -1), (added, 1)):
+        part = rows.transform(fingerprint).first().asDict()
+        now["rows"] += sign * part["rows"]
+        now["digest_sum"] += sign * int(part["digest_sum"] or 0)
+        now["digest_xor"] ^= part["digest_xor"] or 0
+    return {k: str(v) for k, v in now.items()}
+
+
+def replaced_by(catalog: DataFrame, fresh: DataFrame, replaces: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows that an upsert of ``fresh`` takes from the catalogue, and rows that it puts there: those of the same paths after the merge.
+
+    Entries whose path starts with ``replaces`` go first.
+    """
+    gone = catalog.filter(F.startswith("file_path", F.lit(replaces))) if replaces is not None else catalog.limit(0)
+    rest = catalog.filter(~F.startswith("file_path", F.lit(replaces))) if replaces is not None else catalog
+    same = rest.join(fresh.select("file_path").distinct(), "file_path", "left_semi")
+    return gone.unionByName(same), conform(merge(same, fresh))

@@ -34,13 +34,17 @@ def refresh_weather(
     Returns the new snapshot's folder, or None if nothing was to do.
     """
     now = now or datetime.now(timezone.utc)
-    stored = current_weather(spark, weather_root)
-    if stored is not None and W.is_fresh(stored, now):
-        return None
-    wanted = W.of_years(files.list_any(spark, landing), W.years_to_read(now, lookback_days))
-    lines = files.read_selected_lines(spark, landing, wanted)
-    merged = W.merge(None if refresh else stored, W.parse(lines), files.LINE_ORDER)
-    return sinks.write_weather(merged, weather_root, station, DQ.check_weather)
+
+    def attempt(base: sinks.Head) -> str | None:
+        stored = None if base.path is None else files.read_table(spark, base.path, schemas.WEATHER_ROWS)
+        if stored is not None and W.is_fresh(stored, now):
+            return None
+        wanted = W.of_years(files.list_any(spark, landing), W.years_to_read(now, lookback_days))
+        lines = files.read_selected_lines(spark, landing, wanted)
+        merged = W.merge(None if refresh else stored, W.parse(lines), files.LINE_ORDER)
+        return sinks.write_weather(merged, weather_root, station, DQ.check_weather, base)
+
+    return sinks.committed(spark, weather_root, attempt)
 
 
 def report(spark: SparkSession, weather_root: str, now: datetime, days: int = W.REPORT_DAYS) -> DataFrame:

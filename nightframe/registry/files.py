@@ -10,11 +10,12 @@ from nightframe.functions import times
 from nightframe.operators import catalog as C
 from nightframe.operators import headers as H
 from nightframe.operators import lines as L
+from nightframe.plans import build_catalog as B
 from nightframe.plans import preprocess as P
 from nightframe.registry import detector as R
 from nightframe.registry import views as V
 from nightframe.registry.detector import _CHAIN, _q, r4
-from nightframe.sources import fits
+from nightframe.sources import fits, storage, tree
 
 
 def fits_headers(spark, sf):
@@ -72,9 +73,49 @@ def preprocess_files(spark, sf):
     return p.withColumns({"value": r4("value"), "variance": r4("variance")})
 
 
+def _tree_of_files(spark, sf):
+    """The image files written below a folder, by executors."""
+    root = storage.work_folder(spark, "tree")
+    storage.write_files(V.image_files(spark, sf), root)
+    return root
+
+
+def tree_headers(spark, sf):
+    """Every card of the files of a tree that executors list, read from the headers alone."""
+    root = _tree_of_files(spark, sf)
+    h = fits.header_rows_at(tree.walk(spark, root).files, root)
+    return h.select("file_path", "hdu", "key", "vtype", H.shown_value().alias("value"), "has_data")
+
+
+def tree_changes(spark, sf):
+    """What a second walk finds after every file of a third of the runs is gone, and others are grown or new."""
+    root = _tree_of_files(spark, sf)
+    before = tree.walk(spark, root)
+    stored = tree.read_tree(spark, tree.write_tree(before, f"{root}-trees"))
+    kind = F.expr("CAST(regexp_extract(file_path, 'exposure_([0-9]+)', 1) AS BIGINT) % 5")
+    later = V.image_files(spark, sf).withColumn("kind", kind).filter("kind <> 4")
+    name = F.when(F.col("kind") == 0, F.concat(F.lit("new/"), F.col("file_path"))).otherwise(F.col("file_path"))
+    content = F.when(F.col("kind") == 1, F.concat("content", "content")).otherwise(F.col("content"))
+    other = storage.work_folder(spark, "tree")
+    storage.write_files(later.select(name.alias("file_path"), content.alias("content")), other)
+    after = tree.walk(spark, other, stored, trust_times=False)
+    by_size = [tree.Tree(t.entries.withColumn("modificationTime", F.lit(0).cast("timestamp")), t.folders) for t in (stored, after)]
+    return tree.changes(*by_size)
+
+
+def catalog_job(spark, sf):
+    """The catalogue that the refresh job writes for a tree of files, after a second run that finds nothing new."""
+    root = _tree_of_files(spark, sf)
+    for day in (1, 2):
+        B.refresh_catalog(spark, root, f"{root}-catalog", added=datetime(2024, 6, day))
+    e = B.current_catalog(spark, f"{root}-catalog").drop(C.UNREADABLE)
+    shown = {c: times.utc_wall_clock(F.col(c)) for c in ("time_creation", "time_observation")}
+    return e.drop("time_added").withColumns(shown)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (fits_headers, fits_catalog, fits_data_headers, fits_one_header, fits_lines, fits_one_hdu, fits_images, preprocess_files)
+    for f in (tree_headers, tree_changes, catalog_job, fits_headers, fits_catalog, fits_data_headers, fits_one_header, fits_lines, fits_one_hdu, fits_images, preprocess_files)
 }
 
 _FILES = """
@@ -147,3 +188,13 @@ FROM files, (VALUES (0), (1)) AS h(k), """ + _IMAGE_CARDS,
         *_CHAIN, select=f"SELECT {_PATH} AS exposure_id, amp, x, y, value, variance FROM corrected"
     ),
 }
+
+ORACLE["tree_headers"] = ORACLE["fits_headers"]
+ORACLE["catalog_job"] = ORACLE["fits_catalog"]
+ORACLE["tree_changes"] = _q(
+    V.LINES_SQL, _FILES,
+    select="""
+SELECT CASE WHEN c.new THEN 'new/' ELSE '' END || file_path AS file_path, change
+FROM files, (VALUES (0, 'removed', false), (0, 'added', true), (1, 'changed', false), (4, 'removed', false)) AS c(kind, change, new)
+WHERE n % 5 = c.kind""",
+)

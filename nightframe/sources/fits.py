@@ -1,7 +1,7 @@
-"""FITS bytes to rows. The only Python code that runs on executors.
+"""FITS bytes to rows.
 
-Input is any DataFrame with ``(file_path, content)``. Two narrow jobs turn a file into header
-rows or into detector lines; everything after that is Spark. Uncompressed primary and image
+Input is any DataFrame with ``(file_path, content)``, or paths alone where headers are wanted. Two narrow jobs turn a
+file into header rows or into detector lines; everything after that is Spark. Uncompressed primary and image
 HDUs are read.
 """
 
@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pfs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightframe import schemas
+from nightframe.sources.storage import joined, store_of
 
 BLOCK = 2880  # fixed values of the file format: record and card length
 CARD = 80
@@ -42,15 +44,29 @@ def _value(text: str):
     return None
 
 
+#: Reads ``n`` bytes at an offset.
+Read = Callable[[int, int], bytes]
+#: Records of a header that are read in one go.
+RECORDS_PER_READ = 4
+
+
 def hdus(content: bytes) -> Iterator[tuple[int, dict, int, int]]:
     """``(number, cards, data offset, data bytes)`` of every HDU."""
+    return ranged_hdus(lambda at, n: bytes(content[at : at + n]), len(content))
+
+
+def ranged_hdus(read: Read, length: int, last: int | None = None) -> Iterator[tuple[int, dict, int, int]]:
+    """As :func:`hdus` for ``length`` bytes behind ``read``, up to HDU ``last``: headers are read, data are passed over."""
     at, number = 0, 0
-    while at + BLOCK <= len(content):
+    while at + BLOCK <= length and (last is None or number <= last):
         cards: dict = {}
         ended = False
-        while not ended and at + BLOCK <= len(content):
-            record = content[at : at + BLOCK].decode("ascii", "replace")
-            at += BLOCK
+        chunk, used = b"", 0
+        while not ended and at + BLOCK <= length:
+            if used == len(chunk):
+                chunk, used = read(at, min(RECORDS_PER_READ, (length - at) // BLOCK) * BLOCK), 0
+            record = chunk[used : used + BLOCK].decode("ascii", "replace")
+            at, used = at + BLOCK, used + BLOCK
             for i in range(0, BLOCK, CARD):
                 card = record[i : i + CARD]
                 key = card[:8].strip()
@@ -66,7 +82,7 @@ def hdus(content: bytes) -> Iterator[tuple[int, dict, int, int]]:
         axes = [cards[f"NAXIS{i + 1}"] for i in range(cards.get("NAXIS", 0))]
         cells = int(np.prod(axes, dtype=np.int64)) if axes else 0
         size = abs(cards.get("BITPIX", 8)) // 8 * cards.get("GCOUNT", 1) * (cards.get("PCOUNT", 0) + cells)
-        if at + size > len(content):
+        if at + size > length:
             raise ValueError(f"HDU {number} is cut off")
         yield number, cards, at, size
         at += -(-size // BLOCK) * BLOCK
@@ -122,7 +138,7 @@ def _pixels(content: bytes, cards: dict, at: int) -> np.ndarray:
 def _files(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
-            yield path.as_py(), content.as_buffer().to_pybytes()
+            yield path.as_py(), memoryview(content.as_buffer())
 
 
 def _readable(path: str, content: bytes, strict: bool) -> list[tuple[int, dict, int, int]]:
@@ -135,28 +151,38 @@ def _readable(path: str, content: bytes, strict: bool) -> list[tuple[int, dict,
         return []
 
 
-def _header_batches(batches: Iterable[pa.RecordBatch], strict: bool = True) -> Iterator[pa.RecordBatch]:
+_HEADER_KINDS = [
+    pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.bool_(), pa.bool_()
+]
+
+
+def _header_batch(path: str, parts: Iterable[tuple[int, dict, int, int]], keys: frozenset[str] | None = None) -> pa.RecordBatch:
+    """The cards of a file's HDUs as rows, those of ``keys`` if given."""
     names = schemas.HEADER_ROWS.names
-    types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(),
-             pa.bool_(), pa.bool_()]
+    columns: list[list] = [[] for _ in names]
+    image = 0
+    for number, cards, _, size in parts:
+        with_data, is_image = size > 0, _is_image(cards, size)
+        for key, value in sorted(cards.items()):
+            if keys is not None and key not in keys:
+                continue
+            kind = type(value).__name__
+            row = (
+                path, number, image if is_image else None, key, kind,
+                value if kind == "str" else None,
+                float(value) if kind in ("int", "float") else None,
+                value if kind == "bool" else None,
+                with_data,
+            )
+            for column, cell in zip(columns, row):
+                column.append(cell)
+        image += is_image
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _HEADER_KINDS)], names=names)
+
+
+def _header_batches(batches: Iterable[pa.RecordBatch], strict: bool = True) -> Iterator[pa.RecordBatch]:
     for path, content in _files(batches):
-        columns: list[list] = [[] for _ in names]
-        image = 0
-        for number, cards, _, size in _readable(path, content, strict):
-            with_data, is_image = size > 0, _is_image(cards, size)
-            for key, value in sorted(cards.items()):
-                kind = type(value).__name__
-                row = (
-                    path, number, image if is_image else None, key, kind,
-                    value if kind == "str" else None,
-                    float(value) if kind in ("int", "float") else None,
-                    value if kind == "bool" else None,
-                    with_data,
-                )
-                for column, cell in zip(columns, row):
-                    column.append(cell)
-            image += is_image
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        yield _header_batch(path, _readable(path, content, strict))
 
 
 def header_rows(files: DataFrame, strict: bool = True) -> DataFrame:
@@ -168,6 +194,39 @@ def header_rows(files: DataFrame, strict: bool = True) -> DataFrame:
     return files.select("file_path", "content").mapInArrow(run, schemas.HEADER_ROWS)
 
 
+def stored_header(
+    store: pfs.FileSystem, path: str, name: str, length: int | None, strict: bool = True, last: int | None = None,
+    keys: frozenset[str] | None = None,
+) -> pa.RecordBatch:
+    """Header rows of a file in a store, of which only the headers are read; ``name`` is its ``file_path``."""
+    with store.open_input_file(path) as f:
+        size = f.size() if length is None else length
+        try:
+            parts = list(ranged_hdus(lambda at, n: f.read_at(n, at), size, last))
+        except (ValueError, KeyError) as error:
+            if strict:
+                raise ValueError(f"{name}: {error}") from error
+            parts = []
+    return _header_batch(name, parts, keys)
+
+
+def header_rows_at(files: DataFrame, root: str, strict: bool = True, last: int | None = None) -> DataFrame:
+    """:func:`header_rows` of the files ``(file_path, length)`` below ``root``, up to HDU ``last``.
+
+    The tasks open the files themselves and read the records of headers alone, whatever lies between. Files are dealt
+    evenly to twice as many tasks as there are cores.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = store_of(root)
+        for batch in batches:
+            for name, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                yield stored_header(store, joined(base, name), name, length, strict, last)
+
+    tasks = 2 * files.sparkSession.sparkContext.defaultParallelism
+    return files.select("file_path", "length").repartition(tasks).mapInArrow(run, schemas.HEADER_ROWS)
+
+
 def headers_of(header: DataFrame, hdu: int = 0) -> DataFrame:
     """Cards of one HDU; a file that does not have it is an error."""
     shape = header.groupBy("file_path").agg(F.max("hdu").alias("_last"))

@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from nightframe import schemas
 from nightframe.functions import paths
 from nightframe.operators import catalog as C
 from nightframe.operators import quality as DQ
 from nightframe.operators import weather as W
-from nightframe.plans.build_catalog import current_catalog, entries_of
-from nightframe.plans.weather import STATION, current_weather
+from nightframe.plans.build_catalog import entries_of
+from nightframe.plans.weather import STATION
 from nightframe.sources import files, sinks
 
 # Schema of the binary file source; streams must declare it.
@@ -69,8 +70,13 @@ def stream_catalog(
 
     def merge(batch: DataFrame, _: int) -> None:
         fresh = C.conform(entries_of(batch, datetime.now(timezone.utc)))
-        merged = C.merge(current_catalog(batch.sparkSession, catalog_root), fresh)
-        sinks.write_catalog(C.conform(merged.dropna(subset=["type"])), catalog_root, DQ.check_catalog)
+
+        def attempt(base: sinks.Head) -> str:
+            old = None if base.path is None else files.read_catalog(batch.sparkSession, base.path)
+            merged = C.merge(old, fresh).dropna(subset=["type"])
+            return sinks.write_catalog(C.conform(merged), catalog_root, DQ.check_catalog, base)
+
+        sinks.committed(batch.sparkSession, catalog_root, attempt)
         _remember(batch, checkpoint)
 
     changed = _changed(spark, files.list_files(spark, data_root), checkpoint)
@@ -108,9 +114,13 @@ def stream_weather(
 
     def merge(batch: DataFrame, _: int) -> None:
         placed = batch.drop("length", "modificationTime").withColumn("seq", F.monotonically_increasing_id())
-        stored = current_weather(batch.sparkSession, weather_root)
-        merged = W.merge(stored, W.parse(placed), files.LINE_ORDER)
-        sinks.write_weather(merged, weather_root, station, DQ.check_weather)
+
+        def attempt(base: sinks.Head) -> str:
+            stored = None if base.path is None else files.read_table(batch.sparkSession, base.path, schemas.WEATHER_ROWS)
+            merged = W.merge(stored, W.parse(placed), files.LINE_ORDER)
+            return sinks.write_weather(merged, weather_root, station, DQ.check_weather, base)
+
+        sinks.committed(batch.sparkSession, weather_root, attempt)
         _remember(batch, checkpoint)
 
     for found in files.batches_of(landing, _changed(spark, files.list_any(spark, landing), checkpoint)):
