@@ -14,6 +14,7 @@ from nightframe.operators import catalog as C
 from nightframe.plans import build_catalog as B
 from nightframe.sources import files, fits, sinks, storage, tree
 from nightframe.sources.headers import ImageHeaders
+from nightframe.streaming import refresh as S
 
 BIG = image(np.random.default_rng(1).integers(1000, 3000, size=(400, 1000)), DATASEC="[1:390,1:1000]")
 
@@ -246,3 +247,17 @@ def test_refresh_lists_and_opens_only_what_is_new(spark, tmp_path):
     touched(root / "raw/a", age=40)
     B.refresh_catalog(spark, str(root), store, added=ADDED)
     assert set(known(spark, store)) == {"raw/b/1.fits", "raw/b/2.fits"}
+
+
+def test_a_stream_writes_changed_minutes_only(spark, tmp_path):
+    landing, out, marks = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "marks")
+    line = "2024 1 1 0 {} {} 10 1.5 20 600\n"
+    put(landing, "wx.a.2024.dat", "".join(line.format(m, 7) for m in range(40)).encode() + b"no time\n")
+    S.stream_weather_updates(spark, landing, out, marks).awaitTermination()
+    put(landing, "wx.b.2024.dat", (line.format(3, 7) + line.format(4, 8) + line.format(4, 9) + line.format(50, 1)).encode())
+    S.stream_weather_updates(spark, landing, out, marks).awaitTermination()
+    S.stream_weather_updates(spark, landing, out, marks).awaitTermination()
+    batches = spark.read.parquet(out).groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in batches} == {0: 41, 1: 2}
+    speeds = {r.time.minute: r.wind_speed for r in S.current_minutes(spark, out).filter("time IS NOT NULL").collect()}
+    assert speeds == {**dict.fromkeys(range(40), 7), 4: 9, 50: 1}
