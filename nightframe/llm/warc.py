@@ -24,13 +24,15 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 def base32_sha1(payload: Column) -> Column:
     """The SHA-1 of binary data in upper-case base 32: four letters for each five hexadecimal digits."""
 
-    def letters(i: Column) -> Column:
-        number = F.conv(F.substr(F.sha1(payload), i * 5 + 1, F.lit(5)), 16, 10).cast("int")
+    def letters(digest: Column, i: Column) -> Column:
+        number = F.conv(F.substr(digest, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
         return F.concat(
             *[F.substr(F.lit(_BASE32), F.shiftright(number, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), letters), "")
+    # the digest is named by a lambda, so that it is taken once and not for each of its letters
+    whole = lambda d: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: letters(d, i)), "")
+    return F.transform(F.array(F.sha1(payload)), whole)[0]
 
 
 def _uuid(kind: str, key: Column) -> Column:
