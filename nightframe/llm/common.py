@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; one of our own only where none is set, as in tests."""
+    """The cluster's ``spark.checkpoint.dir``; one of our own only where none is set and Spark runs in one process, as in tests."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="nightframe-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

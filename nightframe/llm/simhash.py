@@ -8,7 +8,7 @@ table rows with those segment values and checking the complete distance.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -118,17 +118,17 @@ def links(
     segments: int,
     words: int = 1,
     radii: list[int] | None = None,
-    confirmed: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    index_words: int | None = None,
 ) -> DataFrame:
-    """``a, b``: links that give the same components as all pairs of fingerprints within ``distance`` that ``confirmed`` keeps.
+    """``a, b``: links that give the same components as all pairs of fingerprints within ``distance``.
 
     ``distinct`` has one row per fingerprint in ``fp``. Links inside a dense group are quadratic in
     its size, so they are made in two steps. First every table row is linked with the smallest row of its
     bucket, if that is near enough; the groups found so far get a label. Then the balls are looked up,
     and a pair is returned only if its two labels differ: links within a known group add nothing.
-    No bucket, probe or candidate is capped.
+    No bucket, probe or candidate is capped. The segments are cut from the first ``index_words`` words, by default all.
     """
-    cuts = segment_bits(64 * words, segments)
+    cuts = segment_bits(64 * (index_words or words), segments)
     radii = segment_radii(distance, segments) if radii is None else radii
     held = [i for i, r in enumerate(radii) if r >= 0]
     values = [
@@ -138,7 +138,7 @@ def links(
     tables = distinct.select("fp", buckets)
     first = tables.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     near = _distance(_names("p", words), _names("q", words)) <= distance
-    stars = (
+    stars = checkpoint(
         tables.withColumnRenamed("fp", "b")
         .join(first, "key")
         .where(F.col("a") != F.col("b"))
@@ -147,7 +147,6 @@ def links(
         .select("a", "b")
         .distinct()
     )
-    stars = checkpoint(confirmed(stars))
     groups = connected_components(stars)
     root = F.coalesce("root", "fp")
     labelled = checkpoint(
@@ -171,7 +170,7 @@ def links(
         .join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("label_p") != F.col("label_q")) & near)
         .select(F.array(*_names("p", words)).alias("a"), F.array(*_names("q", words)).alias("b"))
     )
-    return stars.unionByName(confirmed(found.distinct())).distinct()
+    return stars.unionByName(found).distinct()
 
 
 def _ball(width: int, radius: int) -> list[int]:
@@ -185,28 +184,37 @@ def near_groups(
     segments: int,
     words: int = 1,
     radii: list[int] | None = None,
-    confirmed: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    index_words: int | None = None,
 ) -> DataFrame:
     """``fp, root`` for every distinct fingerprint: the group's smallest fingerprint."""
     distinct = checkpoint(prints.select("fp").distinct())
-    groups = connected_components(links(distinct, distance, segments, words, radii, confirmed))
+    groups = connected_components(links(distinct, distance, segments, words, radii, index_words))
     return distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
 
 
+def segments_for(n: int) -> int:
+    """Segments of a 64-bit fingerprint among ``n``: every choice finds all links, long ones keep buckets small and short ones balls.
+
+    Three segments of 21 bits need 45 probes a row and meet n / 2**21 rows with each; two of 32 bits need 562. They are even near 2**25.
+    """
+    return 3 if n <= 1 << 25 else 2
+
+
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4, segments: int = 3
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4, segments: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fp, component_id``.
 
     Fingerprints of 64 bits link at ``distance`` or fewer differing bits; ``component_id`` is the smallest id
     reachable. A null text has no words: fingerprint zero, linked like any other. A null id counts for no
     component; a component of null ids alone has a null ``component_id``. Repeated rows stay. Extra columns
-    are ignored. ``segments`` changes speed alone: with n fingerprints, segments of about log2(n) bits are best.
+    are ignored. Texts of any length are read whole; an empty table has no rows. ``segments`` changes speed alone; by default it follows from
+    the number of rows, see ``segments_for``.
     """
     prints = checkpoint(fingerprints(docs, [F.col(id).alias("doc_id")], text, shingle))
-    groups = near_groups(prints, distance, segments)
+    groups = near_groups(prints, distance, segments or segments_for(prints.count()))
     smallest = (
         prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
         .join(groups, "fp")
@@ -216,28 +224,17 @@ def near_duplicates(
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingles(text: bytes, shingle: int) -> set[int]:
-    """Hashes of the text's different shingles; without words none, with few words their whole sequence."""
-    tokens = text.lower().split()
-    digest = xxhash.xxh64_intdigest
-    return {digest(b" ".join(tokens[i : i + shingle])) for i in range(max(1, len(tokens) - shingle + 1))} if tokens else set()
-
-
-def jaccard(a: set[int], b: set[int]) -> float:
-    return len(a & b) / len(a | b) if a or b else 1.0
-
-
-def search_plan(n: int, similarity: float) -> tuple[int, int, int]:
-    """Words of a fingerprint, its segments and the distance in bits for ``n`` fingerprints.
+def search_plan(n: int, similarity: float, words: int = 8) -> tuple[int, int, int]:
+    """Words of a fingerprint that the index reads, its segments, and the distance in bits for ``n`` fingerprints of ``words``.
 
     Each bit of two texts of Jaccard similarity s differs with a probability of arccos(2s / (1 + s)) over pi. The distance is that mean plus
-    three standard deviations. Segments get longer with the number of fingerprints, so that buckets stay
-    small, and then more of them are looked up: within one bit, a pair at 0.8 agrees in some segment in 99 of 100 cases
-    with 16 segments of 16 bits, in 98 of 100 with 24 of 21 bits.
+    one and a half standard deviations, which 93 of 100 pairs at ``similarity`` keep. Segments get longer with the
+    number of fingerprints, so that buckets stay small, and then more of them are looked up: within one bit, a pair at 0.8 agrees in some segment in 99 of
+    100 cases with 16 segments of 16 bits, in 98 of 100 with 24 of 21 bits.
     """
-    words, segments = (4, 16) if n <= 1 << 22 else (8, 24)
     bits, part = 64 * words, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return words, segments, int(bits * part + 3 * np.sqrt(bits * part * (1 - part)))
+    index_words, segments = (words // 2, 2 * words) if n <= 1 << 22 else (words, 3 * words)
+    return index_words, segments, int(bits * part + 1.5 * np.sqrt(bits * part * (1 - part)))
 
 
 def _packed_text(at: int):
@@ -273,72 +270,30 @@ def _unpacked_text(at: int):
     return run
 
 
-def _alike(shingle: int, similarity: float):
-    """Pairs ``a, b`` of ``a, b, text_a, text_b`` whose texts have the similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known: dict[bytes, set[int]] = {}  # a text of many pairs is cut once a batch
-
-            def of(packed: bytes) -> set[int]:
-                if packed not in known:
-                    known[packed] = shingles(_unpacked(packed) or b"", shingle)  # noqa: B023
-                return known[packed]  # noqa: B023
-
-            texts = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            keep = pa.array([jaccard(of(a), of(b)) >= similarity for a, b in texts], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], names=["a", "b"])
-
-    return run
-
-
 def drop_near_duplicates(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    shingle: int = 5,
-    similarity: float = 0.8,
-    sent_rows: int = 100_000,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, words: int = 8
 ) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group, the row with the smallest id stays.
 
-    Texts are near-duplicates if ``similarity`` or more of their different shingles, the words in lower case, are in both. Pairs are looked up by
-    fingerprints (``search_plan``), then every pair's own texts decide, one for each fingerprint. Texts leave their tasks compressed:
-    those of pairs, and once all to meet what was decided.
+    Texts whose shingles have about the ``similarity`` or more are near-duplicates: their fingerprints of ``64 * words`` bits differ in no more bits than
+    ``search_plan`` says. Which rows stay is decided on ids and fingerprints; texts leave their tasks once, compressed, to meet what was decided.
 
     A null id comes last in its group, null and empty texts are one group, of repeated rows one stays, extra
-    columns are returned as they are. Texts of any length are compared whole. An empty table has no rows.
+    columns are returned as they are. Texts of any length are read whole. An empty table has no rows.
     """
     first, second = "__nf_row_1", "__nf_row_2"
     marked = docs.withColumns(dict(zip((first, second), row_hashes(docs), strict=True)))
     keys = [F.col(id).alias("doc_id"), F.col(first).alias("row_1"), F.col(second).alias("row_2")]
-    words, segments, distance = search_plan(docs.count(), similarity)
     prints = checkpoint(fingerprints(marked, keys, text, shingle, words))
+    index_words, segments, distance = search_plan(prints.count(), similarity, words)
+    groups = near_groups(prints, distance, segments, words, [1] * segments, index_words)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_1", "row_2")
-    per_print = checkpoint(prints.groupBy("fp").agg(F.min(order).alias("first")))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = checkpoint(pairs)
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-        rows = checkpoint(per_print.join(ends, "fp").select("fp", F.col("first.row_1").alias(first), F.col("first.row_2").alias(second)))
-        texts = marked.select(first, second, F.col(text).cast("binary").alias("text"))
-        schema = T.StructType([*texts.schema.fields[:2], T.StructField("text", T.BinaryType())])
-        if rows.count() <= sent_rows:
-            held = texts.join(F.broadcast(rows), [first, second]).select(first, second, "fp", "text")
-            held = held.mapInArrow(_packed_text(3), T.StructType([*schema.fields[:2], *rows.schema.fields[:1], schema.fields[2]]))
-        else:
-            held = texts.mapInArrow(_packed_text(2), schema).join(rows, [first, second])
-        held = checkpoint(held.groupBy("fp").agg(F.first("text").alias("text")))
-        one, other = (held.select(F.col("fp").alias(e), F.col("text").alias(f"text_{e}")) for e in ("a", "b"))
-        both = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(_alike(shingle, similarity), pairs.select("a", "b").schema)
-
-    groups = near_groups(prints, distance, segments, words, [1] * segments, confirmed)
+    per_print = prints.groupBy("fp").agg(F.min(order).alias("first"))
     kept = per_print.join(groups, "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = checkpoint(kept.select(F.col("first.row_1").alias(first), F.col("first.row_2").alias(second)))
     at = docs.columns.index(text)
-    packing = [F.col(f"`{c}`").cast("binary").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    rows = marked.select(*packing, first, second)
+    plain = [F.col(f"`{c}`").cast("binary").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    rows = marked.select(*plain, first, second)
     packed = rows.mapInArrow(_packed_text(at), rows.schema).join(kept, [first, second], "left_semi").dropDuplicates([first, second])
     whole = packed.drop(first, second)
     back = whole.mapInArrow(_unpacked_text(at), whole.schema)
