@@ -181,7 +181,8 @@ def scores(text: Column, model: Model) -> Column:
 def judge(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``score`` and ``attention``, the weight of each passage.
 
-    Null and empty texts have one passage without words. Null ids and repeated rows stay. Extra columns are ignored.
+    Null and empty texts have one passage without words. Null ids and repeated rows stay. Extra columns are ignored. Texts of any length are
+    read whole, passage by passage; an empty table has no rows.
     """
     narrow = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     schema = T.StructType(

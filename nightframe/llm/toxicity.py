@@ -197,7 +197,7 @@ def passages(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "tex
     """``id, score`` and ``segments``: every significant passage as token range, score and excess over chance.
 
     Null and empty texts have no passages and score as any text without one. Repeated rows and null ids stay.
-    Extra columns are ignored.
+    Extra columns are ignored. Texts of any length are scanned whole; an empty table has no rows.
     """
     narrow = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     part = "start: long, end: long, score: double, excess: double"

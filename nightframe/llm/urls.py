@@ -36,6 +36,8 @@ class Index:
         self.digests = np.frombuffer(self._map, "<u8", n, 8)
         self.offsets = np.frombuffer(self._map, "<u8", n + 1, 8 + 8 * n)
         self._texts = 8 + 8 * n + 8 * (n + 1)
+        #: No longer key can be an entry.
+        self.longest = int(np.diff(self.offsets).max(initial=0))
 
     def text(self, i: int) -> bytes:
         return self._map[self._texts + int(self.offsets[i]) : self._texts + int(self.offsets[i + 1])]
@@ -96,6 +98,23 @@ def _mapped(name: str) -> Index:
     return _MAPPED[name]
 
 
+def _keys(host: bytes, path: bytes, longest: int) -> Iterator[bytes]:
+    """The host and the domains above it, each alone, with the path and with the folders of it, of at most ``longest`` bytes.
+
+    Only the ends of a long host and the start of a long path are cut up.
+    """
+    head = path[:longest]
+    folders = [b"", *(head[: m.end()] for m in re.finditer(b"/", head))]
+    if path and len(path) <= longest and not path.endswith(b"/"):
+        folders.append(path)
+    tail = host[-longest:] if longest else b""
+    domains = [tail[m.end() :] for m in re.finditer(rb"\.", tail)]
+    if len(host) <= longest:
+        domains.append(host)
+    for domain in domains:
+        yield from (domain + f for f in folders if len(domain) + len(f) <= longest)
+
+
 def listed(host: Column, path: Column, index: str) -> Column:
     """Whether the list has the host, one of the domains above it, or one of these with the path or a folder of it.
 
@@ -107,15 +126,10 @@ def listed(host: Column, path: Column, index: str) -> Column:
         found = _mapped(index)
         keys, owner = [], []
         for i, (h, p) in enumerate(zip(hosts, paths, strict=True)):
-            if not h:
-                continue
-            p = p or ""
-            labels = h.split(".")
-            folders = ["", p, *(p[: m.end()] for m in re.finditer("/", p))] if p else [""]
-            for start in range(len(labels)):
-                domain = ".".join(labels[start:])
-                keys += [(domain + f).encode() for f in folders]
-                owner += [i] * len(folders)
+            if h:
+                own = list(_keys(h.encode(), (p or "").encode(), found.longest))
+                keys += own
+                owner += [i] * len(own)
         hits = found.contains(keys)
         out = np.zeros(len(hosts), bool)
         out[np.array(owner, np.int64)[hits]] = True
@@ -154,7 +168,7 @@ def judge(pages: DataFrame, index: str, rules: list[tuple[str, str]], id: str =
 
     The longest rule that fits decides; without one a listed url is blocked and any other allowed. A null url or one
     without ``://`` has an empty host and path, fits no rule and is allowed. Null ids and repeated rows stay. Extra
-    columns are ignored. No row is shuffled.
+    columns are ignored, whatever their names. Urls of any length are judged whole; an empty table has no rows. No row is shuffled.
     """
     rows = pages.select(F.col(id), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
