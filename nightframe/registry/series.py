@@ -11,6 +11,7 @@ from nightframe.functions import times
 from nightframe.operators import headers as H
 from nightframe.operators import quality as DQ
 from nightframe.operators import runlog as L
+from nightframe.operators import variants as X
 from nightframe.operators import weather as W
 from nightframe.registry import views as V
 from nightframe.registry.detector import _q
@@ -133,6 +134,39 @@ def header_get_str(spark, sf):
     return _typed_get(spark, sf, "str", "SIGNUP", "unknown")
 
 
+def _variants(spark, sf):
+    return X.as_variant(V.headers(spark, sf))
+
+
+def header_variant_get(spark, sf):
+    """Typed cards of every image, read by their paths from one VARIANT."""
+    h = F.col("header")
+    return _variants(spark, sf).select(
+        "exposure_id", "image_no",
+        X.card(h, "PURCHASE", "float", default=-1.0, strict=False).alias("number"),
+        X.card(h, "ERROR", "int", strict=False).alias("whole"),
+        X.card(h, "CLICK", "bool", default=True, strict=False).alias("flag"),
+        X.card(h, "SIGNUP", "str", default="unknown", strict=False).alias("text"),
+        X.kind(h, "VIEW").alias("kind"),
+    )
+
+
+def header_variant_pivot(spark, sf):
+    """Known cards as columns, without a pivot."""
+    keys = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+    return _variants(spark, sf).select("exposure_id", "image_no", *[X.shown(F.col("header"), k).alias(k.lower()) for k in keys])
+
+
+def header_schema(spark, sf):
+    """Keys and types of every image."""
+    return X.image_schema(_variants(spark, sf))
+
+
+def header_schema_merged(spark, sf):
+    """Keys and types that hold for all images of an exposure."""
+    return X.merged_schema(_variants(spark, sf), "exposure_id")
+
+
 def split_header(spark, sf):
     """One-image files made from the cards of every image: each becomes the headers of two amplifiers."""
     name = F.concat_ws("_", F.concat(F.lit("f"), F.col("exposure_id")), F.col("image_no").cast("string"))
@@ -154,6 +188,7 @@ QUERIES = {
         weather_parse, weather_latest, weather_merge, weather_fresh, weather_report, weather_years, weather_quality,
         runlog_events, header_typed, header_get, header_pivot, header_merge_first, header_merge_last,
         header_merge_maps, header_defaults, header_get_bool, header_get_str, split_header,
+        header_variant_get, header_variant_pivot, header_schema, header_schema_merged,
     )
 }
 
@@ -163,6 +198,9 @@ shown AS (SELECT exposure_id, image_no, key, CASE vtype WHEN 'str' THEN value_st
   WHEN 'int' THEN CAST(CAST(value_double AS BIGINT) AS VARCHAR) WHEN 'bool' THEN CAST(value_bool AS VARCHAR) WHEN 'float' THEN CAST(value_double AS VARCHAR) END AS value
   FROM headers)"""
 
+_SCHEMA = "'OBJECT<' || string_agg(key || ': ' || kind, ', ' ORDER BY key) || '>'"
+_KIND = "CASE vtype WHEN 'int' THEN 'BIGINT' WHEN 'float' THEN 'DOUBLE' WHEN 'bool' THEN 'BOOLEAN' ELSE 'STRING' END"
+
 ORACLE = {
     "weather_parse": _q(V.WEATHER_SQL, select=f"SELECT {_W}, source_rank, line_no FROM weather"),
     "weather_latest": _q(V.WEATHER_SQL, select=f"SELECT {_W}, source_rank, line_no FROM newest"),
@@ -214,6 +252,36 @@ LEFT JOIN (SELECT * FROM headers WHERE key = 'PURCHASE') h USING (exposure_id, i
         )
         + " FROM shown GROUP BY ALL",
     ),
+    "header_variant_get": _q(
+        V.HEADERS_SQL,
+        """typed AS (
+  SELECT *, CASE vtype WHEN 'bool' THEN CAST(CAST(value_bool AS INTEGER) AS DOUBLE) WHEN 'str' THEN NULL ELSE value_double END AS number FROM headers)""",
+        select="""
+SELECT exposure_id, image_no, coalesce(max(number) FILTER (key = 'PURCHASE'), -1.0) AS number,
+  CAST(trunc(max(number) FILTER (key = 'ERROR')) AS BIGINT) AS whole,
+  coalesce(bool_or(value_bool) FILTER (key = 'CLICK'), true) AS flag,
+  coalesce(max(value_str) FILTER (key = 'SIGNUP'), 'unknown') AS text, max(vtype) FILTER (key = 'VIEW') AS kind
+FROM typed GROUP BY ALL""",
+    ),
+    "header_variant_pivot": _q(
+        V.HEADERS_SQL, _TEXT,
+        select="SELECT exposure_id, image_no, "
+        + ", ".join(
+            f"max(value) FILTER (key = '{k}') AS {k.lower()}" for k in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")
+        )
+        + " FROM shown GROUP BY ALL",
+    ),
+    "header_schema": _q(
+        V.HEADERS_SQL,
+        select=f"SELECT exposure_id, image_no, {_SCHEMA} AS schema FROM (SELECT *, {_KIND} AS kind FROM headers) GROUP BY ALL",
+    ),
+    "header_schema_merged": _q(
+        V.HEADERS_SQL,
+        f"""kinds AS (
+  SELECT exposure_id, key, CASE WHEN count(DISTINCT vtype) = 1 THEN max({_KIND})
+    WHEN bool_and(vtype IN ('int', 'float')) THEN 'DOUBLE' ELSE 'VARIANT' END AS kind FROM headers GROUP BY ALL)""",
+        select=f"SELECT exposure_id, {_SCHEMA} AS schema FROM kinds GROUP BY ALL",
+    ),
     "header_merge_first": _q(
         V.HEADERS_SQL,
         select="""SELECT exposure_id, key, vtype, value_str, value_double, value_bool FROM headers
