@@ -54,15 +54,18 @@ def running_median(values: Column, half_width: int) -> Column:
 
     The window is zipped from shifted slices, so the lambda sees single cells only. (A lambda
     that captured the array could have the array's whole expression inlined and evaluated
-    once per element.)
+    once per element.) Nulls come last in a window; NaN is above all numbers. A line without nulls takes
+    the sort by natural order, which calls no comparison lambda.
     """
     n = F.size(values)
     padded = mirrored(values, half_width)
     names = [f"w{k}" for k in range(2 * half_width + 1)]
     window = F.arrays_zip(*[F.slice(padded, k + 1, n).alias(name) for k, name in enumerate(names)])
-    return F.transform(
-        window, lambda w: F.get(F.array_sort(F.array(*[w[name] for name in names])), F.lit(half_width))
-    )
+
+    def middles(ordered) -> Column:
+        return F.transform(window, lambda w: F.get(ordered(F.array(*[w[name] for name in names])), F.lit(half_width)))
+
+    return F.when(F.forall(values, lambda v: v.isNotNull()), middles(F.sort_array)).otherwise(middles(F.array_sort))
 
 
 def total(values: Column) -> Column:

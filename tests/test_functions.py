@@ -81,6 +81,23 @@ def test_running_median_reflects(spark, n):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_running_median_of_odd_cells(spark, seed):
+    """Ties, NaN and nulls: in a window numbers come first, then NaN, then nulls."""
+    rng = np.random.default_rng(seed)
+    pool = [1.0, 1.0, -2.0, 0.0, 7.5, float("nan"), float("inf"), None]
+    lines = [[pool[i] for i in rng.integers(0, top, size=n)] for n in (1, 4, 12, 60) for top in (2, 7, 8)]
+    got = column(spark, [*lines, [], [None] * 7], "array<double>", lambda c: series.running_median(c, 5))
+    rank = lambda v: (v is None, v is not None and np.isnan(v), 0.0 if v is None or np.isnan(v) else v)
+    for v, medians in zip(lines, got, strict=False):
+        n = len(v)
+        cells = [i % (2 * n) for i in range(-5, n + 5)]
+        padded = [v[i] if i < n else v[2 * n - 1 - i] for i in cells]
+        want = [sorted(padded[i : i + 11], key=rank)[5] for i in range(n)]
+        assert [repr(x) for x in medians] == [repr(x) for x in want]
+    assert got[-2:] == [[], [None] * 7]
+
+
 def test_pooled_variance(spark):
     rng = np.random.default_rng(7)
     groups = [rng.normal(1e4, 3, size=k) for k in (3, 8, 1)]
