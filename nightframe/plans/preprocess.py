@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightframe.functions import sections as S
 from nightframe.operators import detector as D
 from nightframe.operators import lines as L
 from nightframe.operators import overscan as O
@@ -26,19 +27,26 @@ def exposures_of(lines: DataFrame) -> DataFrame:
 def line_violations(lines: DataFrame, models: DataFrame | None = None) -> DataFrame:
     """``(rule, key, detail)`` for exposures that can't be pre-processed.
 
-    Rules: other than two images, several channels, no bias section, and no model for the channel if
-    ``models`` (``channel, parameters``) are given. One narrow aggregation of the lines.
+    Rules: other than two images, several channels, no bias section or an image without a line in it, and no model for the
+    channel if ``models`` (``channel, parameters``) are given. One narrow aggregation of the lines.
     """
-    images = lines.groupBy("exposure_id", "amp", "channel").agg(F.max("bias_hi").alias("bias_hi"))
+    x, low, high = F.col("x"), F.col("bias_lo"), F.col("bias_hi")
+    if "biassec" in lines.columns:
+        section = S.parse_section(F.col("biassec"))
+        low, high = section["x_min"], section["x_max"]
+    images = lines.groupBy("exposure_id", "amp", "channel").agg(
+        F.max("bias_hi").alias("bias_hi"), F.coalesce(F.bool_or((x >= low) & (x < high)), F.lit(False)).alias("has_bias")
+    )
     facts = images.groupBy("exposure_id").agg(
         F.count_distinct("amp").alias("images"),
         F.sort_array(F.collect_set("channel")).alias("channels"),
         F.max("bias_hi").alias("bias_hi"),
+        F.bool_and("has_bias").alias("has_bias"),
     )
     checks = [
         ("two_images", F.col("images") != 2, F.col("images").cast("string")),
         ("one_channel", F.size("channels") > 1, F.array_join("channels", ",")),
-        ("bias_section", F.col("bias_hi").isNull(), F.lit("none")),
+        ("bias_section", F.col("bias_hi").isNull() | ~F.col("has_bias"), F.when(F.col("bias_hi").isNull(), "none").otherwise("no lines")),
     ]
     if models is not None:
         known = models.select(F.col("channel").alias("_channel"), F.lit(True).alias("_known")).distinct()
@@ -99,9 +107,13 @@ def preprocess(
     steps: Sequence[tuple[str, D.Step]] = D.STEPS,
     snapshot: bool = False,
     strict: bool = True,
+    without_bias: str = "fail",
 ) -> DataFrame:
     """Corrected pixels of every exposure, with their correction terms.
 
+    An image of which no line lies in a bias section has no overscan model: by ``without_bias`` it fails the query, is left
+    out (``drop``), or has the steps that need none (``keep``). :func:`line_violations` names its exposure.
+
     Two passes over the lines: a small one over the bias lines for the models, and the main
     one, which shuffles each line once, joins it once and explodes it once.
     """
@@ -111,14 +123,22 @@ def preprocess(
     model = O.model_per_exposure(O.overscan_model(O.bias_profile(bias), done=done))
     calibration = parameters.join(model, "exposure_id", "left")
     paired = D.with_parameters(L.with_exposure(L.pair_lines(lines), calibration), strict)
+    if without_bias not in ("fail", "drop", "keep"):
+        raise ValueError(f"without_bias is fail, drop or keep, not {without_bias}")
     missing = F.raise_error(
         F.concat(F.lit("no bias section in exposure "), F.col("exposure_id").cast("string"))
     )
     for amp in L.AMPS:
         column = F.col(f"model{amp}")
-        checked = F.coalesce(column, missing.cast(model.schema[f"model{amp}"].dataType))
-        paired = paired.withColumn(f"model{amp}", checked)
-    pixels = D.correction_terms(paired, overscan=True)
+        if without_bias == "fail":
+            checked = F.coalesce(column, missing.cast(model.schema[f"model{amp}"].dataType))
+            paired = paired.withColumn(f"model{amp}", checked)
+        elif without_bias == "drop":
+            paired = paired.withColumn(f"_modelled{amp}", column.isNotNull())
+    if without_bias == "drop":
+        pixels = D.correction_terms(paired, overscan=True, carry=("_modelled",)).filter("_modelled").drop("_modelled")
+    else:
+        pixels = D.correction_terms(paired, overscan=True)
     return D.run_steps(D.start_images(pixels), steps, snapshot)
 
 

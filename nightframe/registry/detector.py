@@ -209,12 +209,13 @@ def split_amps(spark, sf):
 
 
 def preprocess_exposure(spark, sf):
-    p = P.preprocess_images(V.lines(spark, sf), _models(spark))
+    """Images with bias pixels; the others have nothing to take an overscan from."""
+    p = P.preprocess_images(V.lines(spark, sf), _models(spark), without_bias="drop")
     return p.withColumns({"value": r4("value"), "variance": r4("variance")})
 
 
 def preprocess_chip(spark, sf):
-    p = P.preprocess_chips(V.lines(spark, sf), _models(spark))
+    p = P.preprocess_chips(V.lines(spark, sf), _models(spark), without_bias="drop")
     return p.withColumns({"value": r4("value"), "variance": r4("variance")})
 
 
@@ -226,11 +227,11 @@ def provenance(spark, sf):
 
 
 def preprocess_resumed(spark, sf):
-    """Images that already had every overscan step: only saturation and bit offset apply."""
+    """Images that already had every overscan step: only saturation and bit offset apply, as to those without bias pixels."""
     lines = V.lines(spark, sf)
     models = _models(spark)
     done = O.provenance(P.overscan_models(lines, models))
-    p = P.preprocess_images(lines, models, provenance=done)
+    p = P.preprocess_images(lines, models, provenance=done, without_bias="keep")
     return p.withColumns({"value": r4("value"), "variance": r4("variance")})
 
 

@@ -14,7 +14,7 @@ ZOOM = dict(start=(4, 8), size=(10, 16))
 
 
 def _stages(spark, sf):
-    return stage_table(V.lines(spark, sf), R._models(spark))
+    return stage_table(V.lines(spark, sf), R._models(spark), without_bias="drop")
 
 
 def _rounded(rows):

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check
+from nightframe.plans import preprocess as P
 from nightframe.registry import views as V
+from nightframe.registry.detector import _models
 from nightframe.sources import fits
 
 
@@ -29,6 +31,13 @@ def ragged(tmp_path_factory, sf):
     return partial_tables(tmp_path_factory.mktemp("ragged"), sf, lambda v: v % 50 in kept.get(v // 50, ()))
 
 
+@pytest.fixture(scope="module")
+def paired(tmp_path_factory, sf):
+    """As above, with both images of each line."""
+    kept = {0: range(50), 1: [*range(6), *range(10, 32), *range(40, 50)], 2: range(2), 3: range(34), 4: range(42)}
+    return partial_tables(tmp_path_factory.mktemp("paired"), sf, lambda v: v % 50 in kept.get(v // 50, ()))
+
+
 @pytest.mark.parametrize(
     "name",
     ["fits_catalog", "fits_data_headers", "fits_headers", "catalog_job", "fits_images", "fits_one_hdu", "fits_lines", "fits_one_header", "tree_headers", "tree_changes"],
@@ -38,6 +47,21 @@ def test_files_of_partial_images(spark, ragged, name):
     assert verdict.startswith("ok"), verdict
 
 
+@pytest.mark.parametrize(
+    "name", ["preprocess_exposure", "preprocess_chip", "preprocess_files", "preprocess_resumed", "stage_delta", "stage_percentiles", "stage_zoom"]
+)
+def test_images_without_bias_lines(spark, paired, name):
+    verdict = check.compare(spark, paired[1], paired[0], name, entry.queries()[name], entry.oracle_sql()[name])
+    assert verdict.startswith("ok"), verdict
+
+
+def test_images_without_bias_lines_are_violations(spark, paired):
+    lines, models = V.lines(spark, paired[0]), _models(spark)
+    good, violations = P.usable_lines(lines, models)
+    assert {(r.rule, r.key, r.detail) for r in violations.collect()} == {("bias_section", k, "no lines") for k in "23"}
+    assert {r[0] for r in P.preprocess_images(good, models).select("exposure_id").distinct().collect()} == {0, 1, 4}
+
+
 def test_blank_cells_are_null_and_blank_lines_absent(spark):
     pixels = np.arange(12).reshape(4, 3) + 1000
     pixels[1], pixels[2, 0] = 77, 77
