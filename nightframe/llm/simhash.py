@@ -225,16 +225,15 @@ def near_duplicates(
 
 
 def search_plan(n: int, similarity: float, words: int = 8) -> tuple[int, int, int]:
-    """Words of a fingerprint that the index reads, its segments, and the distance in bits for ``n`` fingerprints of ``words``.
+    """Words of a fingerprint that the index reads, its segments, and the distance in bits for fingerprints of ``words``.
 
     Each bit of two texts of Jaccard similarity s differs with a probability of arccos(2s / (1 + s)) over pi. The distance is that mean plus
-    one and a half standard deviations, which 93 of 100 pairs at ``similarity`` keep. Segments get longer with the
-    number of fingerprints, so that buckets stay small, and then more of them are looked up: within one bit, a pair at 0.8 agrees in some segment in 99 of
-    100 cases with 16 segments of 16 bits, in 98 of 100 with 24 of 21 bits.
+    one and a half standard deviations, which 93 of 100 pairs at ``similarity`` keep. Which pairs are looked up decides which rows stay, so the
+    plan is the same for any number ``n`` of fingerprints: of 512 bits, 16 segments of 16 bits; within one bit, a pair at 0.8 agrees in
+    some segment in 99 of 100 cases. A fingerprint meets about n / 480 others by chance.
     """
     bits, part = 64 * words, float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    index_words, segments = (words // 2, 2 * words) if n <= 1 << 22 else (words, 3 * words)
-    return index_words, segments, int(bits * part + 1.5 * np.sqrt(bits * part * (1 - part)))
+    return words // 2, 2 * words, int(bits * part + 1.5 * np.sqrt(bits * part * (1 - part)))
 
 
 def _packed_text(at: int):

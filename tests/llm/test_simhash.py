@@ -181,6 +181,12 @@ def test_search_plan_finds_pairs_at_the_limit():
             assert (found & (flips.sum(axis=1) <= distance)).mean() >= least
 
 
+def test_search_plan_is_the_same_at_every_size():
+    """Else a pair that stays in a small table goes in a large one, or the other way round."""
+    assert len({S.search_plan(n, 0.8) for n in (0, 1000, 1 << 22, (1 << 22) + 1, 1 << 40)}) == 1
+    assert len({S.search_plan(n, 0.9, words=4) for n in (1, 1 << 23)}) == 1
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3)]
     roots = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
