@@ -107,7 +107,7 @@ def _keys(host: bytes, path: bytes, longest: int) -> Iterator[bytes]:
     folders = [b"", *(head[: m.end()] for m in re.finditer(b"/", head))]
     if path and len(path) <= longest and not path.endswith(b"/"):
         folders.append(path)
-    tail = host[-longest:] if longest else b""
+    tail = host[-longest - 1 :] if longest else b""  # with the dot before the longest domain
     domains = [tail[m.end() :] for m in re.finditer(rb"\.", tail)]
     if len(host) <= longest:
         domains.append(host)
